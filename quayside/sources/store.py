@@ -1,0 +1,77 @@
+"""Silver store: one parquet snapshot folder per table version, and a commit log that names the current one.
+
+A run writes new snapshots next to those being read and then appends a single
+commit row set for all its targets, so readers switch from the old state of
+every table to the new one at once and a run that dies half-way changes nothing.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quayside.session import empty_frame
+from quayside.sources.tables import conform
+
+COMMIT_SCHEMA = "table_name string, folder string, sequence bigint, committed_at timestamp"
+
+
+class SilverStore:
+    def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, T.StructType]):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.schemas = dict(schemas)
+        self.commits = f"{self.root}/_commits"
+
+    def create(self) -> SilverStore:
+        """Start an empty store."""
+        empty_frame(self.spark, T.StructType.fromDDL(COMMIT_SCHEMA)).write.mode("overwrite").parquet(self.commits)
+        return self
+
+    def _current(self) -> dict[str, tuple[int, str]]:
+        """Newest (sequence, folder) per table: one short row for each declared table."""
+        rows = (
+            self.spark.read.schema(COMMIT_SCHEMA)
+            .parquet(self.commits)
+            .groupBy("table_name")
+            .agg(F.max(F.struct("sequence", "folder")).alias("newest"))
+            .select("table_name", "newest.*")
+            .collect()
+        )
+        return {row.table_name: (row.sequence, row.folder) for row in rows}
+
+    def _read(self, name: str, current: Mapping[str, tuple[int, str]]) -> DataFrame:
+        schema = self.schemas[name]
+        if name not in current:
+            return empty_frame(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{current[name][1]}")
+
+    def table(self, name: str) -> DataFrame:
+        """Current rows of a table; empty until its first commit."""
+        return self._read(name, self._current())
+
+    def tables(self, *names: str) -> dict[str, DataFrame]:
+        """Current rows of several tables, all as of the same moment."""
+        current = self._current()
+        return {name: self._read(name, current) for name in (names or self.schemas)}
+
+    def commit(self, new: Mapping[str, DataFrame], label: str = "load") -> None:
+        """Write the new snapshots, then switch to them in one step.
+
+        Every commit has its own number, so it never writes into a folder that
+        readers may hold. What a failed commit left behind is overwritten by the
+        next one of that number.
+        """
+        current = self._current()
+        entries = []
+        for name, df in new.items():
+            sequence = current.get(name, (0, ""))[0] + 1
+            folder = f"{name}/{sequence:08d}-{label}"
+            conform(df, self.schemas[name]).write.mode("overwrite").parquet(f"{self.root}/{folder}")
+            entries.append((name, folder, sequence))
+        self.spark.createDataFrame(entries, "table_name string, folder string, sequence bigint").withColumn(
+            "committed_at", F.current_timestamp()
+        ).coalesce(1).write.mode("append").parquet(self.commits)

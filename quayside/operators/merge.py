@@ -146,9 +146,9 @@ def merge_into(
     names = list(keys.values())
     small = _is_small(source_rows)
     if delete:
-        doomed = source.select(*names).distinct()
+        doomed = source.select([F.col(s).alias(f"_d{i}") for i, s in enumerate(names)]).distinct()
         doomed = F.broadcast(doomed) if small else doomed
-        return target.join(doomed, [target[t] == doomed[s] for t, s in keys.items()], "left_anti")
+        return target.join(doomed, [target[t] == doomed[f"_d{i}"] for i, t in enumerate(keys)], "left_anti")
 
     rows = source.withColumn("_gone", F.lit(False))
     resolved = _one_per_key(rows, names, on_ambiguous, order)

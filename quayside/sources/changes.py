@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.session import empty_frame
+from quayside.sources.readers import path_exists
+
 COMMIT_VERSION = "_commit_version"
 CHANGE_TYPE = "_change_type"
 
@@ -36,6 +39,9 @@ def append_changes(df: DataFrame, path: str, version: int) -> None:
 
 
 def open_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The log, without rows before its first commit."""
+    if not path_exists(spark, path):
+        return empty_frame(spark, log_schema(schema))
     return spark.read.schema(log_schema(schema)).parquet(path)
 
 
@@ -62,11 +68,11 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], *, i
     Null-safe keys, so a null key is one key.
     """
     values = [c for c in after.columns if c not in keys]
-    old = before.select(*keys, F.struct(*values).alias("_old"))
-    new = after.select(*keys, F.struct(*values).alias("_new"))
-    on = [old[k].eqNullSafe(new[k]) for k in keys]
+    old = before.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.struct(*values).alias("_old"))
+    new = after.select(*[F.col(k).alias(f"_a_{k}") for k in keys], F.struct(*values).alias("_new"))
+    on = [F.col(f"_b_{k}").eqNullSafe(F.col(f"_a_{k}")) for k in keys]
     joined = old.join(new, on, "full_outer").select(
-        *[F.coalesce(old[k], new[k]).alias(k) for k in keys], "_old", "_new"
+        *[F.coalesce(f"_b_{k}", f"_a_{k}").alias(k) for k in keys], "_old", "_new"
     )
 
     def change(kind: str, image: str):

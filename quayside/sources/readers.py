@@ -73,10 +73,17 @@ def read_sql_table(
     return spark.read.format("jdbc").options(**jdbc_options(connection.pop("url"), schema, item, **connection)).load()
 
 
+def _filesystem(spark: SparkSession, uri: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, uri: str) -> bool:
+    path, fs = _filesystem(spark, uri)
+    return fs.exists(path)
+
+
 def subfolders(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders directly below ``root``, on whatever file system it lives."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    entries = fs.listStatus(path)
-    return sorted(e.getPath().getName() for e in entries if e.isDirectory())
+    path, fs = _filesystem(spark, root)
+    return sorted(e.getPath().getName() for e in fs.listStatus(path) if e.isDirectory())

@@ -10,7 +10,7 @@ from quayside.functions._columns import as_col
 
 def to_ts(text: Column | str) -> Column:
     """Timestamp from text; null when it does not parse."""
-    return F.try_to_timestamp(as_col(text).cast("string"))
+    return as_col(text).try_cast("timestamp")
 
 
 def now_utc() -> Column:

@@ -11,13 +11,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.conditional import blank_to, not_blank_aware, switch_true
 from quayside.functions.dates import booked_date, days_between, short_date
 from quayside.functions.numbers import growth, growth_label, money
-from quayside.operators.calendar import DATE, calendar, calendar_parts
+from quayside.operators.calendar import DATE, calendar_parts, date_range
 from quayside.operators.star import count_related, path_between
 from quayside.plans.model import RELATIONSHIPS
 
@@ -79,7 +79,7 @@ def date_range_label(first: Column | str, last: Column | str) -> Column:
 
 
 def day_roles(
-    days: DataFrame,
+    bounds: DataFrame,
     by: Sequence[str],
     roles: Sequence[str],
     date_from: str | None = None,
@@ -87,41 +87,39 @@ def day_roles(
 ) -> DataFrame:
     """Which cell a day counts for, and as what.
 
-    One row per (cell, day, role) with the first and last day of the cell. The
-    length of the previous period is that of each cell. At most a few rows per
-    calendar day and grouping, so the result may be broadcast.
+    ``bounds`` is the one row (lo, hi) of a calendar, which has no gaps. The
+    result has one row per (cell, day, role) with the first and last day of the
+    cell: at most three rows per calendar day, so it may be broadcast. The
+    length of the previous period is that of each cell.
     """
-    known = calendar_parts(days.select(DATE))
-    selected = known
+    first, last = F.col("lo"), F.col("hi")
     if date_from is not None:
-        selected = selected.where(F.col(DATE) >= F.lit(date_from).cast("date"))
+        first = F.greatest(first, F.lit(date_from).cast("date"))
     if date_to is not None:
-        selected = selected.where(F.col(DATE) <= F.lit(date_to).cast("date"))
+        last = F.least(last, F.lit(date_to).cast("date"))
     names = [_tag(f"{DATE_TABLE}.{c}") for c in by]
-    selected = selected.select(DATE, *[F.col(c).alias(name) for c, name in zip(by, names, strict=True)])
-    cells = selected.groupBy(*names).agg(F.min(DATE).alias("_lo"), F.max(DATE).alias("_hi"))
+    days = bounds.where(first <= last).select(
+        "lo", "hi", first.alias("_lo"), last.alias("_hi"), F.explode(F.sequence(first, last)).alias(DATE)
+    )
     if by:
-        selected = selected.join(F.broadcast(cells), names)
-    else:
-        # a calendar has no gaps, so one cell is the days between its bounds
-        selected = cells.where(F.col("_lo").isNotNull()).select(
-            F.explode(F.sequence("_lo", "_hi")).alias(DATE), "_lo", "_hi"
-        )
-    parts = []
-    for role in roles:
-        if role == "cur":
-            rows = selected.withColumn("_day", F.col(DATE))
-        elif role == "prev":
-            rows = shift_period(selected, days_in_range("_lo", "_hi"), known)
-        else:
-            rows = shift_period(selected, YEAR_DAYS, known)
-        parts.append(rows.drop(DATE).withColumn("_role", F.lit(role)))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+        cell = Window.partitionBy(*names)
+        days = calendar_parts(days).withColumns({name: F.col(c) for c, name in zip(by, names, strict=True)})
+        days = days.withColumns({"_lo": F.min(DATE).over(cell), "_hi": F.max(DATE).over(cell)})
+    length = days_in_range("_lo", "_hi")
+    day = {
+        "cur": F.col(DATE),
+        "prev": F.date_sub(F.col(DATE), length),
+        "year": F.date_sub(F.col(DATE), F.lit(YEAR_DAYS)),
+    }
+    used = F.array(*[F.struct(F.lit(r).alias("_role"), day[r].alias("_day")) for r in roles])
+    result = days.select(*names, "_lo", "_hi", "lo", "hi", F.explode(used).alias("_use")).select(
+        *names, "_lo", "_hi", "lo", "hi", "_use.*"
+    )
+    # days outside the calendar vanish
+    result = result.where(F.col("_day").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
     if date_from is None and date_to is None:
         # orders without a date belong to the blank cell
-        blank = days.sparkSession.range(1).select(F.lit("cur").alias("_role"))
+        blank = bounds.sparkSession.range(1).select(F.lit("cur").alias("_role"))
         result = result.unionByName(blank, allowMissingColumns=True)
     return result
 
@@ -304,8 +302,11 @@ def evaluate(
     )
 
 
-def _days(tables: Tables) -> DataFrame:
-    return tables[DATE_TABLE] if DATE_TABLE in tables else calendar(tables[FACT], "OrderBookedDate")
+def _bounds(tables: Tables) -> DataFrame:
+    """First and last day of the Date table, which spans the orders unless one is given."""
+    if DATE_TABLE in tables:
+        return date_range(tables[DATE_TABLE], DATE)
+    return date_range(tables[FACT], "OrderBookedDate")
 
 
 def _order_rows(
@@ -325,7 +326,7 @@ def _order_rows(
     bounded = date_from is not None or date_to is not None
     if not (dates or bounded or bounds or list(roles) != ["cur"]):
         return rows.withColumn("_role", F.lit("cur"))
-    cells = day_roles(_days(tables), dates, roles, date_from, date_to)
+    cells = day_roles(_bounds(tables), dates, roles, date_from, date_to)
     day, known = rows["_OrderBookedDate"], cells["_day"]
     rows = rows.join(F.broadcast(cells), day == known if bounded else day.eqNullSafe(known)).drop("_day")
     if not others:

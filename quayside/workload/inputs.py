@@ -12,14 +12,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# The events table as a change feed: users are the entities, every 500 events are one commit.
+# The events table as a change feed: users are the entities, every half day is one commit.
 FEED_SQL = """
 feed AS (
   SELECT event_id, user_id, ts, value, props,
          CASE event_type WHEN 'error' THEN 'DELETE' WHEN 'signup' THEN 'POST'
                          WHEN 'purchase' THEN 'POST' ELSE 'PATCH' END AS Verb,
          date_trunc('day', ts) AS EventProcessedUtcTime,
-         event_id // 500 AS _commit_version,
+         date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) * 2 + hour(ts) // 12 AS _commit_version,
          CASE event_id % 10 WHEN 0 THEN 'delete' WHEN 1 THEN 'update_preimage'
                             WHEN 2 THEN 'update_postimage' ELSE 'insert' END AS _change_type
   FROM events)
@@ -37,7 +37,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "props",
         F.when(kind == "error", "DELETE").when(kind.isin("signup", "purchase"), "POST").otherwise("PATCH").alias("Verb"),
         F.date_trunc("day", "ts").cast("timestamp_ntz").alias("EventProcessedUtcTime"),
-        F.expr("event_id div 500").alias("_commit_version"),
+        (F.datediff("ts", F.lit("2024-01-01")) * 2 + F.expr("hour(ts) div 12")).alias("_commit_version"),
         F.when(step == 0, "delete")
         .when(step == 1, "update_preimage")
         .when(step == 2, "update_postimage")

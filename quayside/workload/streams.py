@@ -1 +1,56 @@
+"""The landing and mapping streams, run to the end of the given events."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quayside.operators.merge import apply_changes
+from quayside.operators.snapshot import latest_snapshot, live_changes
+from quayside.session import run_dir, use_utc
+from quayside.sources.changes import open_log
+from quayside.sources.store import SilverStore
+from quayside.streaming.jobs import land_stream, log_stream, with_ingest_metadata
+from quayside.workload import query
+from quayside.workload.inputs import feed, load
+from quayside.workload.merges import APPLY_SQL, _registry
+
+
+@query("stream_land", "SELECT event_id, event_type, user_id, true AS stamped FROM events")
+def land(spark, sf):
+    """Events as a file stream into a change log, with ingest times and partition."""
+    use_utc(spark)
+    root = run_dir(spark, "land")
+    schema = load(spark, sf, "events").schema
+    source = with_ingest_metadata(spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*"), key="user_id")
+    land_stream(source, f"{root}/log", f"{root}/checkpoint").awaitTermination()
+    log = open_log(spark, f"{root}/log", source.schema)
+    stamped = F.col("EventProcessedUtcTime").isNotNull() & F.col("PartitionId").between(0, 3)
+    return log.select("event_id", "event_type", "user_id", (stamped & (F.col("_commit_version") >= 1)).alias("stamped"))
+
+
+@query("stream_land_and_map", APPLY_SQL)
+def land_and_map(spark, sf):
+    """The feed landed by one stream and merged into a registry by a second one."""
+    root = run_dir(spark, "map")
+    rows = feed(spark, sf).withColumnsRenamed({"_commit_version": "version", "_change_type": "kind"})
+    rows.write.parquet(f"{root}/in")
+    source = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+    land_stream(source, f"{root}/log", f"{root}/land").awaitTermination()
+    registry = _registry(spark, sf)
+    store = SilverStore(spark, f"{root}/silver", {"registry": registry.schema}).create()
+    store.commit({"registry": registry})
+
+    def merge(batch, batch_id):
+        changes = batch.withColumnsRenamed({"version": "v", "kind": "k"}).drop("_commit_version", "_change_type")
+        changes = changes.withColumnsRenamed({"v": "_commit_version", "k": "_change_type"})
+        snap = latest_snapshot(live_changes(changes), "user_id", ties="one", tiebreak=["event_id"])
+        merged = apply_changes(
+            store.table("registry"), snap, {"id": "user_id"}, update={"balance": "value"},
+            insert={"id": "user_id", "balance": "value"},
+        )
+        store.commit({"registry": merged})
+
+    log = log_stream(spark, f"{root}/log", rows.schema)
+    stream = log.writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}/merge")
+    stream.trigger(availableNow=True).start().awaitTermination()
+    return store.table("registry")

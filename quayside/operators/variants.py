@@ -40,43 +40,60 @@ def _weights(lists: Column) -> Column:
     )
 
 
-def expand_variants(df: DataFrame, product: str, lists: str, out: str = "ProductID", options: str = "OptionIDs") -> DataFrame:
+def _described(spec: Column, option: Column) -> Column:
+    return F.struct(spec["ID"].alias("spec_id"), option["ID"].alias("option_id"), option["Value"].alias("value"))
+
+
+def option_members(specs: Column | str, lists: Column | str) -> Column:
+    """What each option of each list stands for: per list, per option, its (spec id, option id, value).
+
+    A list belongs to the specs that have exactly these options; usually one.
+    Worked out once per product, so that a variant only picks by position.
+    """
+
+    def of_option(options: Column, option: Column) -> Column:
+        owners = F.filter(_with_options(specs), lambda s: _option_ids(s) == options)
+        return F.flatten(
+            F.transform(
+                owners,
+                lambda s: F.transform(F.filter(s["Options"], lambda o: o["ID"] == option), lambda o: _described(s, o)),
+            )
+        )
+
+    return F.transform(as_col(lists), lambda options: F.transform(options, lambda option: of_option(options, option)))
+
+
+def expand_variants(
+    df: DataFrame,
+    product: str,
+    lists: str,
+    out: str = "ProductID",
+    options: str = "OptionIDs",
+    members: str | None = None,
+    characteristics: str = "characteristics",
+) -> DataFrame:
     """One row per combination of options: ``<product>-<o1>-<o2>`` and its option ids.
 
     Combination n is written in the mixed-radix number system of the list
     lengths, so a row is generated per number instead of building all texts in
     one value. Products without a combination keep one row with a null variant.
+    With ``members`` the rows also carry the characteristics of their options.
     """
     column = F.col(lists)
     total = F.coalesce(variant_count(column), F.lit(0).cast("bigint"))
     numbers = F.when(total > 0, F.sequence(F.lit(0).cast("bigint"), total - 1))
     rows = df.withColumn("_w", _weights(column)).select("*", F.explode_outer(numbers).alias("_v"))
-    chosen = F.zip_with(
-        column,
-        F.col("_w"),
-        lambda o, w: F.get(o, (F.call_function("div", F.col("_v"), w) % F.size(o)).cast("int")),
+    digits = F.zip_with(
+        column, F.col("_w"), lambda o, w: (F.call_function("div", F.col("_v"), w) % F.size(o)).cast("int")
     )
-    rows = rows.withColumn(options, F.when(F.col("_v").isNotNull(), chosen))
+    rows = rows.withColumn("_digits", F.when(F.col("_v").isNotNull(), digits))
+    rows = rows.withColumn(options, F.zip_with(column, "_digits", lambda o, d: F.get(o, d)))
     variant = F.when(F.col("_v").isNotNull(), F.concat_ws("-", F.col(product), F.array_join(options, "-")))
-    return rows.withColumn(out, variant).drop("_w", "_v")
-
-
-def _described(spec: Column, option: Column) -> Column:
-    return F.struct(spec["ID"].alias("spec_id"), option["ID"].alias("option_id"), option["Value"].alias("value"))
-
-
-def variant_characteristics(specs: Column | str, lists: Column | str, options: Column | str) -> Column:
-    """The options a variant was built from: array of (spec id, option id, value), no duplicates.
-
-    A spec's position among the lists tells which of the variant's options is its own.
-    """
-
-    def own(spec: Column) -> Column:
-        place = F.array_position(as_col(lists), _option_ids(spec)).cast("int") - 1
-        mine = F.filter(spec["Options"], lambda o: o["ID"] == F.get(as_col(options), place))
-        return F.transform(mine, lambda o: _described(spec, o))
-
-    return F.array_distinct(F.flatten(F.transform(_with_options(specs), own)))
+    rows = rows.withColumn(out, variant)
+    if members is not None:
+        picked = F.flatten(F.zip_with(members, "_digits", lambda m, d: F.get(m, d)))
+        rows = rows.withColumn(characteristics, F.array_distinct(picked))
+    return rows.drop("_w", "_v", "_digits")
 
 
 def contains_match(specs: Column | str, variant: Column | str) -> Column:

@@ -34,7 +34,7 @@ from quayside.operators.variants import (
     expand_variants,
     label_values,
     option_lists,
-    variant_characteristics,
+    option_members,
 )
 from quayside.plans.model import VARIANT_RELATIONSHIP
 from quayside.session import stage
@@ -315,8 +315,9 @@ def run_orders(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict[s
             "StatusTypeId": "StatusTypeId",
         },
     )
-    lines, line_count = run.keep(lines, "order_lines")
     lines = with_period(lines, "start", "end")
+    # lines are a map over the staged orders: counted for the choice of join, not staged again
+    line_count = None if rows is None else snap.agg(F.sum(F.size("LineItems"))).first()[0] or 0
 
     def upsert(table: str, source: DataFrame, key: list[str], values: Mapping[str, str], rule: str, count):
         on = {k: k for k in key}
@@ -376,16 +377,17 @@ def product_variants(snap: DataFrame, rules: Rules) -> DataFrame:
 
     A map over the snapshot: the specs travel with their product.
     """
-    expanded = expand_variants(snap.withColumn("_lists", option_lists("Specs")), "ExternalProductID", "_lists")
-    match = (
-        contains_match("Specs", "ProductID")
-        if rules.options_by_text
-        else variant_characteristics("Specs", "_lists", "OptionIDs")
-    )
+    listed = snap.withColumn("_lists", option_lists("Specs"))
+    if rules.options_by_text:
+        expanded = expand_variants(listed, "ExternalProductID", "_lists")
+        match = F.when(F.col("ProductID").isNotNull(), contains_match("Specs", "ProductID"))
+        expanded = expanded.withColumn("characteristics", match)
+    else:
+        listed = listed.withColumn("_members", option_members("Specs", "_lists"))
+        expanded = expand_variants(listed, "ExternalProductID", "_lists", members="_members")
     own_id = F.coalesce("ProductID", "ExternalProductID")
     return (
-        expanded.withColumn("characteristics", F.when(F.col("ProductID").isNotNull(), match))
-        .withColumn("ItemName", item_name("Name", label_values("characteristics"), "Specs"))
+        expanded.withColumn("ItemName", item_name("Name", label_values("characteristics"), "Specs"))
         .withColumn("ItemSku", item_sku(own_id, "Specs"))
         .withColumn("ProductId_", own_id)
         .select(

@@ -151,12 +151,9 @@ def orders(spark, sf) -> DataFrame:
 def products(spark, sf) -> DataFrame:
     from quayside.workload.nested import products as documents
 
-    part = load(spark, sf, "part").select(
-        F.concat(F.lit("SC-"), text("p_partkey")).alias("ExternalProductID"), "p_type", "p_size", "p_brand"
-    )
-    rows = documents(spark, sf).join(part, "ExternalProductID")
+    rows = documents(spark, sf, "p_partkey", "p_type", "p_size", "p_brand")
     return rows.select(
-        F.substring("ExternalProductID", 4, 100).alias("ProductID"),
+        text("p_partkey").alias("ProductID"),
         "Name",
         F.col("p_brand").alias("Description"),
         (F.col("p_size") > 25).alias("Returnable"),

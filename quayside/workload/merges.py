@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quayside.functions.conditional import typed_null
 from quayside.operators.merge import MergeSpec, apply_changes, mark, mark_and_sweep, merge_into, merge_many, src
 from quayside.operators.snapshot import latest_snapshot, live_changes
+from quayside.session import run_dir, stage
 from quayside.workload import query
 from quayside.workload.inputs import FEED_SQL, feed, load
 
@@ -192,6 +193,7 @@ def sweep(spark, sf):
     pairs = lines.select(
         F.col("l_suppkey").alias("parent"), child.alias("child"), (F.col("l_linestatus") == "O").alias("open")
     ).groupBy("parent", "child").agg(F.max("open").alias("live"))
+    pairs = stage(pairs, run_dir(spark, "pairs"))  # the stored child table
     children = pairs.select("parent", "child")
     changed = load(spark, sf, "supplier").where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey").alias("parent"))
     current = pairs.where("live").select("parent", "child")

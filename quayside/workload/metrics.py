@@ -38,10 +38,11 @@ BASE = f"""{STAR_SQL}, f AS (SELECT o.*, c_mktsegment AS "Segment", n_name AS "I
   days AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM o)"""
 
 
-def period_sql(keys: str, attrs: str, select: str, dims: str = "", date: str = "true", empty: bool = True) -> str:
+def period_sql(keys: str, attrs: str, select: str, dims: str = "", date: str = "true", roles: str = "'cur'") -> str:
     """Cells by date attributes (and dimensions) with their current, previous and last-year values.
 
     ``keys`` names the date attributes, ``attrs`` computes them from d, ``dims`` adds columns of the fact.
+    Only the periods in ``roles`` are read, so only their rows make a cell appear.
     """
     names = [k for k in keys.split(",") if k]
     dim_names = [k for k in dims.split(",") if k]
@@ -55,7 +56,7 @@ def period_sql(keys: str, attrs: str, select: str, dims: str = "", date: str = "
     zero_dims = "".join(", NULL" for _ in dim_names)
     blank = (
         f"UNION ALL SELECT {''.join(f'c.{k}, ' for k in names)}lo, hi, 'cur', NULL, NULL{zero_dims} FROM cells c"
-        if empty and not dims
+        if not dims
         else ""
     )
     named = f"{attrs}, " if attrs else ""
@@ -67,7 +68,8 @@ def period_sql(keys: str, attrs: str, select: str, dims: str = "", date: str = "
         WHERE CAST(m.d - CAST(n AS INTEGER) AS DATE) IN (SELECT d FROM days)
       UNION ALL SELECT {''.join(f'm.{k}, ' for k in names)}lo, hi, 'year', CAST(m.d - 365 AS DATE) FROM m
         WHERE CAST(m.d - 365 AS DATE) IN (SELECT d FROM days)),
-    x AS (SELECT {''.join(f'r.{k}, ' for k in names)}lo, hi, role, amt, lines{fact_dims} FROM r JOIN f ON f.d = r.day {blank}),
+    x AS (SELECT {''.join(f'r.{k}, ' for k in names)}lo, hi, role, amt, lines{fact_dims} FROM r JOIN f ON f.d = r.day
+      WHERE role IN ({roles}) {blank}),
     g AS (SELECT {out}min(lo) AS lo, max(hi) AS hi,
       CAST(sum(amt) FILTER (WHERE role = 'cur') AS DOUBLE) AS cur, CAST(sum(amt) FILTER (WHERE role = 'prev') AS DOUBLE) AS prev,
       CAST(sum(amt) FILTER (WHERE role = 'year') AS DOUBLE) AS py,
@@ -119,12 +121,16 @@ DATE_PARTS = {
 
 def periods(name: str, measures: list[str], dates: list[str], dims: list[str] = (), date: str = "true", **filters) -> None:
     """Register measures over cells of date attributes, and of dimensions of the star."""
+    roles = ["'cur'"]
+    roles += ["'prev'"] if any("PrevPeriod" in m or "Growth" in m for m in measures) else []
+    roles += ["'year'"] if any("PrevYear" in m for m in measures) else []
     sql = period_sql(
         ",".join(f'"{k}"' for k in dates),
         ", ".join(DATE_PARTS[k] for k in dates),
         select_sql(measures),
         ",".join(f'"{d.split(".")[1]}"' for d in dims),
         date,
+        ", ".join(roles),
     )
     query(name, sql)(run(measures, [f"Date.{k}" for k in dates] + list(dims), **filters))
 

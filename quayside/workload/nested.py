@@ -19,13 +19,13 @@ from quayside.operators.variants import (
     expand_variants,
     label_values,
     option_lists,
-    variant_characteristics,
+    option_members,
 )
 from quayside.workload import query
 from quayside.workload.inputs import load
 
 
-def products(spark, sf):
+def products(spark, sf, *extra: str):
     """Parts as product documents: a Type and a Size spec, no specs for one brand, an empty list for large sizes."""
     option = "struct<ID:string,Value:string>"
 
@@ -49,6 +49,7 @@ def products(spark, sf):
         prefix_key("p_partkey").alias("ExternalProductID"),
         F.col("p_name").alias("Name"),
         F.when(F.col("p_brand") != "Brand#7", specs).alias("Specs"),
+        *extra,
     )
 
 
@@ -73,7 +74,8 @@ chr AS (SELECT variant, var.id, var.name, spec, o, v FROM var JOIN opt ON opt.id
 
 def variants(spark, sf):
     rows = products(spark, sf).withColumn("lists", option_lists("Specs"))
-    return expand_variants(rows, "ExternalProductID", "lists")
+    rows = rows.withColumn("members", option_members("Specs", "lists"))
+    return expand_variants(rows, "ExternalProductID", "lists", members="members")
 
 
 @query(
@@ -178,8 +180,8 @@ def expand(spark, sf):
 
 @query("variant_characteristics", f"WITH {PRODUCTS_SQL} SELECT variant, spec, o AS option_id, v AS value FROM chr")
 def characteristics(spark, sf):
-    rows = variants(spark, sf).withColumn("c", variant_characteristics("Specs", "lists", "OptionIDs"))
-    return rows.select(F.col("ProductID").alias("variant"), F.explode("c").alias("c")).select(
+    rows = variants(spark, sf)
+    return rows.select(F.col("ProductID").alias("variant"), F.explode("characteristics").alias("c")).select(
         "variant", F.col("c.spec_id").alias("spec"), "c.option_id", "c.value"
     )
 
@@ -206,13 +208,12 @@ def by_text(spark, sf):
     FROM prod WHERE id NOT IN (SELECT id FROM var)""",
 )
 def names(spark, sf):
-    rows = variants(spark, sf).withColumn("c", variant_characteristics("Specs", "lists", "OptionIDs"))
+    rows = variants(spark, sf)
     own = F.coalesce("ProductID", "ExternalProductID")
-    found = F.when(F.col("ProductID").isNotNull(), F.col("c"))
     return rows.select(
         own.alias("product"),
         item_sku(own, "Specs").alias("sku"),
-        item_name("Name", label_values(found), "Specs").alias("item_name"),
+        item_name("Name", label_values("characteristics"), "Specs").alias("item_name"),
     )
 
 

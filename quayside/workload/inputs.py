@@ -71,7 +71,7 @@ def star(spark: SparkSession, sf_dir: str, lines: bool = False) -> dict[str, Dat
     order = orders.select(
         F.col("o_orderkey").alias("OrderId"),
         F.col("o_custkey").alias("CustomerId"),
-        F.lit(1).cast("bigint").alias("OrderTypeId"),
+        F.when(F.col("o_orderkey").isNotNull(), 1).cast("bigint").alias("OrderTypeId"),
         F.col("o_orderdate").alias("OrderBookedDate"),
         F.col("o_totalprice").alias("OrderTotalAmount"),
     )

@@ -39,12 +39,16 @@ from quayside.operators.variants import (
 from quayside.plans.model import VARIANT_RELATIONSHIP
 from quayside.session import stage
 from quayside.sources.changes import CHANGE_TYPE, COMMIT_VERSION
+from quayside.sources.readers import stored_bytes
 
 # The open-ended validity period.
 PERIOD_START = "2000-11-16T13:06:46.713+00:00"
 PERIOD_END = "2999-11-16T13:06:46.713+00:00"
 ONLINE_SALE = 1
 
+# A staged source of at most this size in storage may be broadcast.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
 
 def instant(text: str) -> Column:
     return F.lit(text).cast("timestamp")
@@ -95,11 +99,16 @@ class Run:
     staging: str | None = None
 
     def keep(self, df: DataFrame, name: str) -> tuple[DataFrame, int | None]:
-        """The frame and, once staged, its number of rows (read from the file footers)."""
+        """The frame and, once staged, its number of rows (read from the file footers).
+
+        Wide rows count as unknown: merges broadcast only what is short and small.
+        """
         if self.staging is None:
             return df, None
-        staged = stage(df, f"{self.staging}/{name}")
-        return staged, staged.count()
+        path = f"{self.staging}/{name}"
+        staged = stage(df, path)
+        small = stored_bytes(df.sparkSession, path) <= BROADCAST_BYTES
+        return staged, staged.count() if small else None
 
     def snapshot(self, events: DataFrame, keys: str | list[str], name: str) -> tuple[DataFrame, int | None]:
         rows = live_changes(events, self.rules.strict_feed)

@@ -83,6 +83,12 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return fs.exists(path)
 
 
+def stored_bytes(spark: SparkSession, uri: str) -> int:
+    """Size of a folder in storage."""
+    path, fs = _filesystem(spark, uri)
+    return fs.getContentSummary(path).getLength()
+
+
 def subfolders(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders directly below ``root``, on whatever file system it lives."""
     path, fs = _filesystem(spark, root)

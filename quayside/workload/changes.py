@@ -16,7 +16,7 @@ from quayside.operators.snapshot import (
 )
 from quayside.session import run_dir
 from quayside.sources.changes import latest_version, overwrite_changes, read_changes, snapshot_diff
-from quayside.sources.state import version_window
+from quayside.sources.state import advance, init_state, max_value, read_state, version_window
 from quayside.workload import query
 from quayside.workload.inputs import FEED_SQL, feed, load
 
@@ -77,6 +77,35 @@ def read_changes_since(spark, sf):
     return read_changes(log, 1).select("event_id", "_change_type", "_commit_version")
 
 
+@query(
+    "read_changes_bounded",
+    f"""WITH {FEED_SQL} SELECT event_id, _commit_version FROM feed
+    WHERE _commit_version BETWEEN 1 AND (SELECT max(_commit_version) FROM feed WHERE Verb = 'DELETE')""",
+)
+def read_changes_bounded(spark, sf):
+    """Up to the version known when the run starts: here the newest one that holds a deletion."""
+    log = feed(spark, sf)
+    known = max_value(split_by_verb(log)[1], "_commit_version")
+    return read_changes(log, 1, known).select("event_id", "_commit_version")
+
+
+@query(
+    "incremental_state",
+    f"""WITH {FEED_SQL} SELECT Verb AS table_name, max(_commit_version) AS version, 2::BIGINT AS entries
+    FROM feed GROUP BY Verb""",
+)
+def incremental_state(spark, sf):
+    """The state log started at zero for each verb and advanced to the newest version of each."""
+    path = run_dir(spark, "state")
+    newest = feed(spark, sf).groupBy("Verb").agg(F.max("_commit_version").alias("v")).collect()
+    init_state(spark, path, [row.Verb for row in newest])
+    for row in newest:  # three verbs
+        advance(spark, path, row.Verb, row.v)
+    return read_state(spark, path).groupBy("table_name").agg(
+        F.max("last_processed_commit_version").alias("version"), F.count(F.lit(1)).alias("entries")
+    )
+
+
 @query("latest_version", f"WITH {FEED_SQL} SELECT max(_commit_version) AS version FROM feed")
 def newest_version(spark, sf):
     return latest_version(feed(spark, sf))

@@ -12,7 +12,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# The events table as a change feed: users are the entities, every half day is one commit.
+# The events table as a change feed: users are the entities, every half day is one commit,
+# and the number in the event's properties decides the kind of change.
 FEED_SQL = """
 feed AS (
   SELECT event_id, user_id, ts, value, props,
@@ -20,15 +21,16 @@ feed AS (
                          WHEN 'purchase' THEN 'POST' ELSE 'PATCH' END AS Verb,
          date_trunc('day', ts) AS EventProcessedUtcTime,
          date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) * 2 + hour(ts) // 12 AS _commit_version,
-         CASE event_id % 10 WHEN 0 THEN 'delete' WHEN 1 THEN 'update_preimage'
-                            WHEN 2 THEN 'update_postimage' ELSE 'insert' END AS _change_type
+         CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) < 10 THEN 'delete'
+              WHEN CAST(json_extract(props, '$.k') AS INTEGER) < 20 THEN 'update_preimage'
+              WHEN CAST(json_extract(props, '$.k') AS INTEGER) < 30 THEN 'update_postimage' ELSE 'insert' END AS _change_type
   FROM events)
 """
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
-    step = F.col("event_id") % 10
+    step = F.from_json("props", "k int")["k"]
     return load(spark, sf_dir, "events").select(
         "event_id",
         "user_id",
@@ -38,9 +40,9 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "error", "DELETE").when(kind.isin("signup", "purchase"), "POST").otherwise("PATCH").alias("Verb"),
         F.date_trunc("day", "ts").cast("timestamp_ntz").alias("EventProcessedUtcTime"),
         (F.datediff("ts", F.lit("2024-01-01")) * 2 + F.expr("hour(ts) div 12")).alias("_commit_version"),
-        F.when(step == 0, "delete")
-        .when(step == 1, "update_preimage")
-        .when(step == 2, "update_postimage")
+        F.when(step < 10, "delete")
+        .when(step < 20, "update_preimage")
+        .when(step < 30, "update_postimage")
         .otherwise("insert")
         .alias("_change_type"),
     )

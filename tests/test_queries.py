@@ -30,7 +30,7 @@ def db():
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.9g}")
+        return None if math.isnan(value) else value
     if isinstance(value, Decimal):
         return float(value)
     if isinstance(value, dt.datetime):

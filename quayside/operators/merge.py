@@ -286,3 +286,27 @@ def mark_and_sweep(
         name: merge_into(df, expired, {column: child}, delete=True) for name, (df, column) in dependents.items()
     }
     return Sweep(children=swept, expired=expired, dependents=cleaned)
+
+
+def merge_table(source: DataFrame, table: str, spec: MergeSpec, *, delete_verb: str | None = None) -> None:
+    """The same merge, done in place by a table format that can change single rows.
+
+    Such a format rewrites only the files that hold matched rows, where
+    ``merge_into`` yields the whole new target. With ``delete_verb`` matched
+    rows whose verb column says DELETE are removed and never inserted.
+    Ambiguity is checked by the format. Parquet tables do not support it.
+    """
+    rows = _prefixed(source)
+    condition = F.lit(True)
+    for t, s in spec.on.items():
+        condition = condition & (F.col(t) == src(s))
+    writer = rows.mergeInto(table, condition)
+    live = F.lit(True)
+    if delete_verb is not None:
+        live = src(delete_verb) != DELETE_VERB
+        writer = writer.whenMatched(src(delete_verb) == DELETE_VERB).delete()
+    if spec.update is not None:
+        writer = writer.whenMatched(live).update({name: _value(v) for name, v in spec.update.items()})
+    if spec.insert is not None:
+        writer = writer.whenNotMatched(live).insert({name: _value(v) for name, v in spec.insert.items()})
+    writer.merge()

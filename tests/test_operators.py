@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import format_currency, growth, growth_label, item_name, normalize_phone, to_ts
 from quayside.operators.lookup import lookup_any, outer_using
-from quayside.operators.merge import apply_changes, merge_into, src
+from quayside.operators.merge import MergeSpec, apply_changes, merge_into, merge_table, src
 from quayside.operators.snapshot import latest_snapshot
 from quayside.operators.star import Relationship, path_between, related, related_one
 from quayside.operators.variants import expand_variants, option_lists
@@ -277,3 +277,14 @@ def test_no_machine_local_folder_on_a_cluster(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Cluster(None))
     assert shared_dir(Cluster("hdfs://x/y/")) == "hdfs://x/y"
+
+
+def test_in_place_merge_needs_a_row_level_format(spark):
+    t = spark.createDataFrame([(1, "a")], TARGET)
+    s = spark.createDataFrame([(1, "PUT", "x", 1)], SOURCE)
+    t.write.mode("overwrite").format("parquet").saveAsTable("quayside_rowlevel")
+    try:
+        with pytest.raises(Exception, match="MERGE INTO TABLE|UNSUPPORTED_FEATURE"):
+            merge_table(s, "quayside_rowlevel", MergeSpec.upsert({"k": "id"}, {"v": "w"}), delete_verb="Verb")
+    finally:
+        spark.sql("DROP TABLE quayside_rowlevel")

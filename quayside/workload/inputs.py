@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.session import use_utc
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from the file once; later reads need no job for it."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = use_utc(spark).read.parquet(path).schema
+    return use_utc(spark).read.schema(_SCHEMAS[path]).parquet(path)
+
+
+class Star(dict):
+    """Tables built when first asked for, so a query plans only what it reads."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        super().__init__()
+        self.makers = makers
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.makers[name]()
+        return self[name]
 
 
 # The events table as a change feed: users are the entities, every half day is one commit,
@@ -59,62 +81,58 @@ o AS (
 """
 
 
-def star(spark: SparkSession, sf_dir: str, lines: bool = False) -> dict[str, DataFrame]:
+def star(spark: SparkSession, sf_dir: str, lines: bool = False) -> Star:
     """The star over the given tables: customers carry their segment, nations serve as countries.
 
     ``lines`` adds the number of lines per order, which reads the line table.
     """
     from quayside.plans.model import order_status_types, order_types
 
-    lineitem = load(spark, sf_dir, "lineitem")
-    orders = load(spark, sf_dir, "orders")
-    customer = load(spark, sf_dir, "customer")
+    def table(name: str, **columns: str | Column) -> DataFrame:
+        picked = [(F.col(c) if isinstance(c, str) else c).alias(out) for out, c in columns.items()]
+        return load(spark, sf_dir, name).select(*picked)
+
+    def orders() -> DataFrame:
+        rows = table(
+            "orders",
+            OrderId="o_orderkey",
+            CustomerId="o_custkey",
+            # depends on the row, so that a join on it stays a join
+            OrderTypeId=F.when(F.col("o_orderkey").isNotNull(), 1).cast("bigint"),
+            OrderBookedDate="o_orderdate",
+            OrderTotalAmount="o_totalprice",
+        )
+        if not lines:
+            return rows
+        counts = table("lineitem", OrderId="l_orderkey").groupBy("OrderId").agg(F.count(F.lit(1)).alias("n"))
+        count = F.coalesce("n", F.lit(0).cast("bigint"))
+        return rows.join(counts, "OrderId", "left").withColumn("NumberOfOrderLines", count).drop("n")
+
     status = F.when(F.col("o_orderstatus") == "O", 3).when(F.col("o_orderstatus") == "F", 4).otherwise(1)
-    order = orders.select(
-        F.col("o_orderkey").alias("OrderId"),
-        F.col("o_custkey").alias("CustomerId"),
-        F.when(F.col("o_orderkey").isNotNull(), 1).cast("bigint").alias("OrderTypeId"),
-        F.col("o_orderdate").alias("OrderBookedDate"),
-        F.col("o_totalprice").alias("OrderTotalAmount"),
+    return Star(
+        {
+            "Order": orders,
+            "OrderStatus": lambda: table("orders", OrderId="o_orderkey", OrderStatusTypeId=status.cast("bigint")),
+            "OrderStatusType": lambda: order_status_types(spark),
+            "OrderType": lambda: order_types(spark),
+            "OrderLine": lambda: table(
+                "lineitem",
+                OrderId="l_orderkey",
+                ProductId="l_partkey",
+                Quantity="l_quantity",
+                TotalOrderLineAmount="l_extendedprice",
+            ),
+            "IndividualCustomer": lambda: table(
+                "customer", CustomerId="c_custkey", IndividualCustomerName="c_name", Segment="c_mktsegment"
+            ),
+            "CustomerLocation": lambda: table("customer", CustomerId="c_custkey", LocationId="c_custkey"),
+            "Location": lambda: table(
+                "customer", LocationId="c_custkey", CountryId=F.col("c_nationkey").cast("bigint")
+            ),
+            "Country": lambda: table(
+                "nation", CountryId=F.col("n_nationkey").cast("bigint"), IsoCountryName="n_name"
+            ),
+            "CustomerGroup": lambda: table("customer", CustomerGroupId="c_mktsegment").distinct(),
+            "CustomerGroupCustomer": lambda: table("customer", CustomerGroupId="c_mktsegment", CustomerId="c_custkey"),
+        }
     )
-    if lines:
-        counts = lineitem.groupBy(F.col("l_orderkey").alias("OrderId")).agg(F.count(F.lit(1)).alias("n"))
-        order = order.join(counts, "OrderId", "left").withColumn(
-            "NumberOfOrderLines", F.coalesce("n", F.lit(0).cast("bigint"))
-        ).drop("n")
-    return {
-        "Order": order,
-        "OrderStatus": orders.select(
-            F.col("o_orderkey").alias("OrderId"), status.cast("bigint").alias("OrderStatusTypeId")
-        ),
-        "OrderStatusType": order_status_types(spark),
-        "OrderType": order_types(spark),
-        "OrderLine": lineitem.select(
-            F.col("l_orderkey").alias("OrderId"),
-            F.col("l_partkey").alias("ProductId"),
-            F.col("l_quantity").alias("Quantity"),
-            F.col("l_extendedprice").alias("TotalOrderLineAmount"),
-        ),
-        "IndividualCustomer": customer.select(
-            F.col("c_custkey").alias("CustomerId"),
-            F.col("c_name").alias("IndividualCustomerName"),
-            F.col("c_mktsegment").alias("Segment"),
-        ),
-        "CustomerLocation": customer.select(
-            F.col("c_custkey").alias("CustomerId"), F.col("c_custkey").alias("LocationId")
-        ),
-        "Location": customer.select(
-            F.col("c_custkey").alias("LocationId"), F.col("c_nationkey").cast("bigint").alias("CountryId")
-        ),
-        "Country": load(spark, sf_dir, "nation").select(
-            F.col("n_nationkey").cast("bigint").alias("CountryId"), F.col("n_name").alias("IsoCountryName")
-        ),
-        "CustomerGroup": customer.select(F.col("c_mktsegment").alias("CustomerGroupId")).distinct(),
-        "CustomerGroupCustomer": customer.select(
-            F.col("c_mktsegment").alias("CustomerGroupId"), F.col("c_custkey").alias("CustomerId")
-        ),
-        "RetailProduct": load(spark, sf_dir, "part").select(
-            F.col("p_partkey").alias("ProductId"), F.col("p_name").alias("ProductName"),
-            F.col("p_type").alias("CategoryId"),
-        ),
-    }

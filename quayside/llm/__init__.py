@@ -7,10 +7,16 @@ from quayside.llm.common import QUERIES, SQL
 
 def load_all() -> None:
     from quayside.llm import (  # noqa: F401
+        ann,
         bpe,
+        chat,
+        jaccard,
         licenses,
+        lines,
         mixing,
+        search,
         store,
+        toxicity,
     )
 
 

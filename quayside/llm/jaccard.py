@@ -1,9 +1,10 @@
 """Exact similarity join of documents on sets of word shingles, by skipping over set relations.
 
 1. Documents with the same set become one class; the class stands for them from then on.
-2. Shingles are ordered by how often their hash slot occurs in all documents (a table of fixed size), rare ones first. Of
-   two sets with a Jaccard similarity of at least ``t``, the first ``|x| - ceil(t |x|) + 1`` shingles in that order share
-   one: the prefix. Each class is listed under its prefix shingles.
+2. Shingles are ordered rare ones first, judged by two tables of fixed size over all documents: how often a shingle's
+   hash slot occurs (shingles of passages that many documents share go last) and how often those of its words do. Any
+   order is exact: of two sets with a Jaccard similarity of at least ``t``, the first ``|x| - ceil(t |x|) + 1`` shingles
+   share one. Each class is listed under this prefix.
 3. Lists go to the task of their first member (the leader), so lists of one family meet and a set is sent there once.
    Inside, a list is ordered by set size; a set skips the block of too small ones by position, everything already in its
    component, and derives its overlaps from those of a very similar earlier set: they differ by no more than the few
@@ -15,6 +16,7 @@ A family with very many members is cut into blocks, and each pair of blocks is a
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +27,10 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import as_bytes, query, table, text_slices
 from quayside.llm.graph import components
-from quayside.llm.words import mix, shingle_sets
+from quayside.llm.words import mix, shingle_runs, shingle_sets
 from quayside.session import run_dir, stage
 
-#: Slots of the frequency table, in chunks; members of a family before it is cut into blocks; bits of the id filter.
+#: Slots of each frequency table, in chunks; members of a family before it is cut into blocks; bits of the id filter.
 SLOTS, CHUNK, FAMILY, BITS = 1 << 18, 1 << 12, 1024, 1 << 24
 #: Classes a task remembers so as not to list copies again.
 SEEN = 200_000
@@ -42,59 +44,76 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
 
 def profiles(docs: DataFrame, width: int) -> DataFrame:
     """Two kinds of rows: of each document ``id``, ``n`` (set size), ``a``, ``b`` (signature); of each task's chunk of the
-    frequency table ``chunk``, ``counts``."""
+    frequency tables (shingles, then words) ``chunk``, ``counts`` (compressed)."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        table_ = np.zeros(SLOTS, np.int64)
+        tables = np.zeros((2, SLOTS), np.int64)
         for part in text_slices(batches):
-            sets = shingle_sets(as_bytes(part.column("text")), width)
-            if sets:
-                table_ += np.bincount((np.concatenate(sets) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+            both = shingle_runs(as_bytes(part.column("text")), width)
+            sets = [np.unique(runs) for runs, _ in both]
+            for k, seen in enumerate((sets, [words for _, words in both])):
+                tables[k] += np.bincount((np.concatenate(seen) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
             signs = [_signature(s) for s in sets]
             n = len(sets)
             yield pa.RecordBatch.from_pydict({
                 "id": part.column("id"), "n": pa.array([len(s) for s in sets], pa.int64()), "a": pa.array([s[0] for s in signs], pa.int64()),
-                "b": pa.array([s[1] for s in signs], pa.int64()), "chunk": pa.nulls(n, pa.int32()), "counts": pa.nulls(n, pa.list_(pa.int64())),
+                "b": pa.array([s[1] for s in signs], pa.int64()), "chunk": pa.nulls(n, pa.int32()), "counts": pa.nulls(n, pa.binary()),
             })
-        k = SLOTS // CHUNK
-        blank = pa.nulls(k, pa.int64())
-        yield pa.RecordBatch.from_pydict({
-            "id": blank, "n": blank, "a": blank, "b": blank, "chunk": pa.array(range(k), pa.int32()), "counts": pa.array(table_.reshape(k, CHUNK).tolist(), pa.list_(pa.int64())),
-        })
+        rows = tables.reshape(-1, CHUNK)
+        blank = pa.nulls(len(rows), pa.int64())
+        packed = pa.array([zlib.compress(r.astype("<i8").tobytes(), 1) for r in rows], pa.binary())
+        yield pa.RecordBatch.from_pydict({"id": blank, "n": blank, "a": blank, "b": blank, "chunk": pa.array(range(len(rows)), pa.int32()), "counts": packed})
 
-    return docs.mapInArrow(run, "id long, n long, a long, b long, chunk int, counts array<long>")
+    return docs.mapInArrow(run, "id long, n long, a long, b long, chunk int, counts binary")
 
 
-def slot_counts(rows: DataFrame) -> np.ndarray:
-    """The frequency table over all documents: ``SLOTS`` numbers, whatever the input."""
-    cell = rows.where("chunk is not null").select("chunk", F.posexplode("counts").alias("at", "n"))
-    summed = cell.where("n > 0").groupBy((F.col("chunk") * CHUNK + F.col("at")).alias("slot")).agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(SLOTS, np.int64)
-    out[summed["slot"].to_numpy(np.int64)] = summed["n"].to_numpy(np.int64)
-    return out
+def frequency_tables(rows: DataFrame) -> np.ndarray:
+    """Both tables over all documents, as ranks: for shingles how many doublings above four times the mean their slot
+    lies, for words the logarithm of the count in sixteenths. ``2 * SLOTS`` numbers, whatever the input."""
 
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(c), "<i8") for c in part["counts"])
+        return pd.DataFrame({"chunk": part["chunk"].iloc[:1], "counts": [total.tobytes()]})
 
-def prefix_lists(docs: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
+    chunks = rows.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInPandas(add, "chunk int, counts binary")
+    tables = np.zeros((2 * SLOTS // CHUNK, CHUNK), np.int64)
+    for chunk, counts in chunks.collect():
+        tables[chunk] = np.frombuffer(counts, "<i8")
+    shingles, words = tables.reshape(2, SLOTS)
+    heavy = np.maximum(np.log2(np.maximum(shingles, 1) / max(float(shingles.mean()), 1.0)).astype(np.int32) - 1, 0)
+    return np.stack([heavy, (np.log2(1 + words) * 16).astype(np.int32)])
+
+
+def prefix(runs: np.ndarray, words: np.ndarray, width: int, percent: int, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The set of a text and its prefix."""
+    s, first = np.unique(runs, return_index=True)
+    rank = ranks[1][(words % np.uint64(SLOTS)).astype(np.int64)]
+    rare = sum(rank[first + k] for k in range(min(width, len(words))))
+    order = np.lexsort((s, rare, ranks[0][(s % np.uint64(SLOTS)).astype(np.int64)]))
+    return s, s[order[: len(s) + (-percent * len(s) // 100) + 1]]
+
+
+def prefix_lists(docs: DataFrame, width: int, percent: int, ranks: np.ndarray) -> DataFrame:
     """``token``, ``n``, ``a``, ``b`` of each class under its prefix shingles; a task lists a class once."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        often, seen = shared.value, set()
+        ranks, seen = shared.value, set()
         for part in text_slices(batches):
             tokens, sizes, signs = [], [], []
-            for s in shingle_sets(as_bytes(part.column("text")), width):
+            for runs, words in shingle_runs(as_bytes(part.column("text")), width):
+                if not len(runs):
+                    continue
+                s, rare = prefix(runs, words, width, percent, ranks)
                 sign = _signature(s)
-                if not len(s) or (sign, len(s)) in seen:
+                if sign in seen:
                     continue
                 if len(seen) >= SEEN:
                     seen.clear()
-                seen.add((sign, len(s)))
-                order = np.lexsort((s, often[(s % np.uint64(SLOTS)).astype(np.int64)]))
-                n = len(s)
-                prefix = s[order[: n + (-percent * n // 100) + 1]]
-                tokens.append(prefix.view(np.int64))
-                sizes.append(np.full(len(prefix), n))
-                signs.append(np.tile(np.array(sign, np.int64), (len(prefix), 1)))
+                seen.add(sign)
+                tokens.append(rare.view(np.int64))
+                sizes.append(np.full(len(rare), len(s)))
+                signs.append(np.tile(np.array(sign, np.int64), (len(rare), 1)))
             if tokens:
                 both = np.concatenate(signs)
                 yield pa.RecordBatch.from_pydict({"token": np.concatenate(tokens), "n": np.concatenate(sizes), "a": both[:, 0].copy(), "b": both[:, 1].copy()})
@@ -102,16 +121,17 @@ def prefix_lists(docs: DataFrame, width: int, percent: int, counts: np.ndarray)
     return docs.mapInArrow(run, "token long, n long, a long, b long")
 
 
-def shared_tokens(lists: DataFrame) -> DataFrame:
+def shared_tokens(lists: DataFrame, percent: int) -> DataFrame:
     """``token``, ``n``, ``a``, ``b`` and the leader's ``la``, ``lb``, for tokens that two classes share at least.
 
-    Lists pass as sorted streams, so a list of any length takes no memory.
+    Lists are ordered by set size and cut where the next size is too large for a link with any before it; the first member
+    of a piece leads it. They pass as sorted streams, so a list of any length takes no memory.
     """
     ordered = lists.repartition("token").sortWithinPartitions("token", "n", "a", "b")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         leader = last = None  # first member of the list that is open, and the member seen last
-        told = False
+        told, size_before = False, 0
         for batch in batches:
             token, n, a, b = (c.to_numpy() for c in batch.columns)
             if not len(token):
@@ -123,8 +143,9 @@ def shared_tokens(lists: DataFrame) -> DataFrame:
             token, n, a, b = token[~same], n[~same], a[~same], b[~same]
             if not len(token):
                 continue
-            carried = leader is not None and leader[0] == token[0]
-            first = np.concatenate([[not carried], token[1:] != token[:-1]])
+            carried = leader is not None and leader[0] == token[0] and 100 * size_before >= percent * n[0]
+            first = np.concatenate([[not carried], (token[1:] != token[:-1]) | (100 * n[:-1] < percent * n[1:])])
+            size_before = n[-1]
             group = np.cumsum(first) - first[0]
             heads = np.flatnonzero(first)
             if carried:
@@ -299,11 +320,11 @@ def join_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     spark = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     rows = stage(profiles(source, width), run_dir(spark, "profiles"))
-    counts = slot_counts(rows)
+    ranks = frequency_tables(rows)
     ids = rows.where("chunk is null").select("id", "n", "a", "b")
     classes = stage(ids.where("n > 0").groupBy("a", "b").agg(F.min("id").alias("first")), run_dir(spark, "classes"))
     texts = source.select("text")
-    shared = stage(shared_tokens(prefix_lists(texts, width, percent, counts)), run_dir(spark, "shared"))
+    shared = stage(shared_tokens(prefix_lists(texts, width, percent, ranks), percent), run_dir(spark, "shared"))
     sets = stage(member_sets(texts, width, shared.select("a", "b").distinct()), run_dir(spark, "sets"))
     found = stage(links(shared, sets, percent), run_dir(spark, "links"))
     one, two = classes.toDF("a", "b", "x"), classes.toDF("a2", "b2", "y")

@@ -48,19 +48,21 @@ def word_hashes(texts: list[bytes], classes: bytes) -> tuple[np.ndarray, np.ndar
     return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), np.searchsorted(starts, begins)
 
 
-def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
-    """Sorted distinct hashes of each text's runs of ``width`` words; of fewer words, that of them all; of none, nothing."""
+def shingle_runs(texts: list[bytes], width: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each text, hashes of its runs of ``width`` words and of its words; fewer words are one run, none no run."""
     words, at = word_hashes(texts, BY_SPACE)
     runs = chain(words, width)
     out = []
     for a, b in zip(at.tolist(), at[1:].tolist(), strict=False):
-        if b - a >= width:
-            out.append(np.unique(runs[a : b - width + 1]))
-        else:
-            out.append(chain(words[a:b], b - a))
+        out.append((runs[a : b - width + 1] if b - a >= width else chain(words[a:b], b - a), words[a:b]))
     return out
 
 
+def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's runs."""
+    return [np.unique(runs) for runs, _ in shingle_runs(texts, width)]
+
+
 def chain(words: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of ``width`` words."""
     if width < 1 or len(words) < width:

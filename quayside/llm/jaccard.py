@@ -5,8 +5,9 @@
    hash slot occurs (shingles of passages that many documents share go last) and how often those of its words do. Any
    order is exact: of two sets with a Jaccard similarity of at least ``t``, the first ``|x| - ceil(t |x|) + 1`` shingles
    share one. Each class is listed under this prefix.
-3. Lists go to the task of their first member (the leader), so lists of one family meet and a set is sent there once.
-   Inside, a list is ordered by set size; a set skips the block of too small ones by position, everything already in its
+3. Lists go to the task of their first member (the leader), so lists of one family meet. A small parity sketch goes with
+   each class first: of two sets, as many shingles differ at least as bits of their sketches do. Classes of which no pair
+   passes this bound go; it drops no link. The sets of the others are then sent, once per family. Inside, a list is ordered by set size; a set skips the block of too small ones by position, everything already in its
    component, and derives its overlaps from those of a very similar earlier set: they differ by no more than the few
    shingles in which the two sets differ, so most answers follow without looking at the sets.
 4. What links is kept as a spanning forest per task, and components are closed over all tasks.
@@ -42,8 +43,22 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
         return int(mix(s ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64).view(np.int64)), int(mix(s + np.uint64(0x51ED270B)).sum(dtype=np.uint64).view(np.int64))
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parity of the shingles on each of about ``n / 2`` bits (a power of two, 64 to 65,536)."""
+    bits = 1 << min(max(6, (max(len(s), 1) // 2).bit_length()), 16)
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool)).tobytes()
+
+
+def fold(one: bytes, size: int) -> np.ndarray:
+    """A sketch as one of ``size`` bytes."""
+    out = np.frombuffer(one, np.uint8)
+    while len(out) > size:
+        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
+    return out
+
+
 def profiles(docs: DataFrame, width: int) -> DataFrame:
-    """Two kinds of rows: of each document ``id``, ``n`` (set size), ``a``, ``b`` (signature); of each task's chunk of the
+    """Two kinds of rows: of each document ``id``, ``n`` (set size), ``a``, ``b`` (signature), ``sketch``; of each task's chunk of the
     frequency tables (shingles, then words) ``chunk``, ``counts`` (compressed)."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -57,14 +72,14 @@ def profiles(docs: DataFrame, width: int) -> DataFrame:
             n = len(sets)
             yield pa.RecordBatch.from_pydict({
                 "id": part.column("id"), "n": pa.array([len(s) for s in sets], pa.int64()), "a": pa.array([s[0] for s in signs], pa.int64()),
-                "b": pa.array([s[1] for s in signs], pa.int64()), "chunk": pa.nulls(n, pa.int32()), "counts": pa.nulls(n, pa.binary()),
+                "b": pa.array([s[1] for s in signs], pa.int64()), "sketch": pa.array([sketch(s) for s in sets], pa.binary()), "chunk": pa.nulls(n, pa.int32()), "counts": pa.nulls(n, pa.binary()),
             })
         rows = tables.reshape(-1, CHUNK)
         blank = pa.nulls(len(rows), pa.int64())
         packed = pa.array([zlib.compress(r.astype("<i8").tobytes(), 1) for r in rows], pa.binary())
-        yield pa.RecordBatch.from_pydict({"id": blank, "n": blank, "a": blank, "b": blank, "chunk": pa.array(range(len(rows)), pa.int32()), "counts": packed})
+        yield pa.RecordBatch.from_pydict({"id": blank, "n": blank, "a": blank, "b": blank, "sketch": pa.nulls(len(rows), pa.binary()), "chunk": pa.array(range(len(rows)), pa.int32()), "counts": packed})
 
-    return docs.mapInArrow(run, "id long, n long, a long, b long, chunk int, counts binary")
+    return docs.mapInArrow(run, "id long, n long, a long, b long, sketch binary, chunk int, counts binary")
 
 
 def frequency_tables(rows: DataFrame) -> np.ndarray:
@@ -280,32 +295,70 @@ class Family:
         return out
 
 
-def links(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a``, ``b``, ``a2``, ``b2``: pairs of classes that link, a spanning forest per family."""
-    members = shared.groupBy("la", "lb", "a", "b").agg(F.collect_list("token").alias("tokens"))
-    families = members.groupBy("la", "lb").agg(F.count("*").alias("size")).select("la", "lb", F.ceil(F.col("size") / FAMILY).cast("int").alias("blocks"))
-    spark = shared.sparkSession
-    members, families = stage(members, run_dir(spark, "members")), stage(families, run_dir(spark, "families"))
-    placed = members.join(families, ["la", "lb"]).withColumn("own", F.pmod(F.xxhash64("a", "b"), F.col("blocks")).cast("int"))
+FAMILY_KEYS = ["la", "lb", "i", "j"]
+
+
+def families(members: DataFrame, payload: DataFrame) -> DataFrame:
+    """Rows of ``members`` (``la``, ``lb``, ``a``, ``b``, ``tokens``) with ``payload`` by class, for each family or pair of
+    its blocks: ``i``, ``j``, and ``own``, the block of the row."""
+    spark = members.sparkSession
+    blocks = members.groupBy("la", "lb").agg(F.count("*").alias("size")).select("la", "lb", F.ceil(F.col("size") / FAMILY).cast("int").alias("blocks"))
+    blocks = stage(blocks, run_dir(spark, "blocks"))
+    placed = members.join(blocks, ["la", "lb"]).withColumn("own", F.pmod(F.xxhash64("a", "b"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     sent = placed.withColumn("other", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    rows = sent.select("la", "lb", "i", "j", "own", "a", "b", "tokens").join(sets, ["a", "b"])
+    return sent.select(*FAMILY_KEYS, "own", "a", "b", "n", "tokens").join(payload, ["a", "b"])
+
+
+def unpack(family: pd.DataFrame) -> tuple[pd.DataFrame, list[np.ndarray], np.ndarray | None]:
+    """Members by size, their lists as positions, and for a pair of blocks the side of each member."""
+    family = family.sort_values(["n", "a", "b"], ignore_index=True)
+    tokens = np.concatenate(family["tokens"].to_list())
+    whose = np.repeat(np.arange(len(family)), family["tokens"].map(len))
+    order = np.lexsort((whose, tokens))
+    cuts = np.flatnonzero(np.diff(tokens[order])) + 1
+    lists = [m for m in np.split(whose[order], cuts) if len(m) > 1]
+    return family, lists, family["own"].to_numpy() if family["i"].iloc[0] != family["j"].iloc[0] else None
+
+
+def passing(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """``members`` of which some pair may link, by size and sketches."""
+
+    def run(family: pd.DataFrame) -> pd.DataFrame:
+        family, lists, side = unpack(family)
+        sizes, held = family["n"].to_numpy(), family["sketch"].to_list()
+        fine = np.zeros(len(family), bool)
+        for members_ in lists:
+            width = min(len(held[m]) for m in members_)
+            bits, n = np.stack([fold(held[m], width) for m in members_]), sizes[members_]
+            starts = np.searchsorted(n, -(-n * percent // 100))
+            for k in range(1, len(n)):
+                at = slice(starts[k], k)
+                common = -(-percent * (n[at] + n[k]) // (100 + percent))  # the least overlap of a link
+                open_ = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64) <= n[at] + n[k] - 2 * common
+                if side is not None:
+                    open_ &= side[members_[at]] != side[members_[k]]
+                if open_.any():
+                    fine[members_[k]] = True
+                    fine[members_[at][open_]] = True
+        return family.loc[fine, ["la", "lb", "a", "b"]]
+
+    spark = members.sparkSession
+    kept = families(members, sketches).groupBy(*FAMILY_KEYS).applyInPandas(run, "la long, lb long, a long, b long").distinct()
+    return stage(members.join(kept, ["la", "lb", "a", "b"], "left_semi"), run_dir(spark, "passing"))
+
+
+def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a``, ``b``, ``a2``, ``b2``: pairs of classes that link, a spanning forest per family."""
 
     def run(family: pd.DataFrame) -> pd.DataFrame:
-        family = family.assign(n=family["shingles"].map(len)).sort_values(["n", "a", "b"], ignore_index=True)
-        made = Family([np.frombuffer(s, np.uint64) for s in family["shingles"]], percent)
-        tokens = np.concatenate(family["tokens"].to_list())
-        whose = np.repeat(np.arange(len(family)), family["tokens"].map(len))
-        order = np.lexsort((whose, tokens))
-        cuts = np.flatnonzero(np.diff(tokens[order])) + 1
-        lists = [m for m in np.split(whose[order], cuts) if len(m) > 1]
-        cross = family["own"].to_numpy() if family["i"].iloc[0] != family["j"].iloc[0] else None
-        found = made.forest(lists, cross)
+        family, lists, side = unpack(family)
+        found = Family([np.frombuffer(s, np.uint64) for s in family["shingles"]], percent).forest(lists, side)
         a, b = family["a"].to_numpy(), family["b"].to_numpy()
         x, y = (np.array([f[k] for f in found], np.int64) for k in (0, 1))
         return pd.DataFrame({"a": a[x], "b": b[x], "a2": a[y], "b2": b[y]})
 
-    return rows.groupBy("la", "lb", "i", "j").applyInPandas(run, "a long, b long, a2 long, b2 long")
+    return families(members, sets).groupBy(*FAMILY_KEYS).applyInPandas(run, "a long, b long, a2 long, b2 long")
 
 
 def join_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -322,11 +375,15 @@ def join_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     rows = stage(profiles(source, width), run_dir(spark, "profiles"))
     ranks = frequency_tables(rows)
     ids = rows.where("chunk is null").select("id", "n", "a", "b")
-    classes = stage(ids.where("n > 0").groupBy("a", "b").agg(F.min("id").alias("first")), run_dir(spark, "classes"))
+    classes = rows.where("n > 0").groupBy("a", "b").agg(F.min("id").alias("first"), F.first("sketch").alias("sketch"))
+    classes = stage(classes, run_dir(spark, "classes"))
     texts = source.select("text")
-    shared = stage(shared_tokens(prefix_lists(texts, width, percent, ranks), percent), run_dir(spark, "shared"))
-    sets = stage(member_sets(texts, width, shared.select("a", "b").distinct()), run_dir(spark, "sets"))
-    found = stage(links(shared, sets, percent), run_dir(spark, "links"))
+    shared = shared_tokens(prefix_lists(texts, width, percent, ranks), percent)
+    members = stage(shared.groupBy("la", "lb", "a", "b", "n").agg(F.collect_list("token").alias("tokens")), run_dir(spark, "members"))
+    near = passing(members, classes.select("a", "b", "sketch"), percent)
+    sets = stage(member_sets(texts, width, near.select("a", "b").distinct()), run_dir(spark, "sets"))
+    found = stage(links(near, sets, percent), run_dir(spark, "links"))
+    classes = classes.select("a", "b", "first")
     one, two = classes.toDF("a", "b", "x"), classes.toDF("a2", "b2", "y")
     edges = found.join(one, ["a", "b"]).join(two, ["a2", "b2"]).where("x is not null and y is not null").select(F.col("x").alias("a"), F.col("y").alias("b"))
     tied = components(edges)

@@ -6,8 +6,10 @@ share a variant: both lose the character at the same place (a replacement), or o
 no pairs are formed however many lines share a variant. A line's variants are hashed by cells of 64 characters, the rest
 of the line entering as two hashes, so long lines cost little more than their length.
 
-Most lines have no neighbour. Cut in two halves, lines within one edit agree in one half whole; only lines that share a
-half with another one, and only places in the other half, give variants. That loses no pair.
+Most lines have no neighbour. Of two lines cut into pieces, one edit touches one piece, and the rest agrees: only lines
+that agree with another one in one of two halves, then in three of four quarters, give variants, and only for places in
+the piece that may differ. That loses no pair. Shared half keys go back to the scan as a bitmap of fixed size, so the
+texts of lines without a neighbour are never moved.
 """
 
 from __future__ import annotations
@@ -21,103 +23,118 @@ from quayside.session import run_dir, stage
 #: Lines with fewer characters are only compared whole: one edit would change too much of them.
 SHORT = 12
 CELL = 64
+#: Bits of the bitmap of shared half keys.
+BITS = 1 << 20
+
+
+def form_of(line: Column) -> Column:
+    """What lines are compared by; null for a blank line, which is never a duplicate."""
+    return F.nullif(F.lower(F.trim(line, F.lit(" \t\r\x0b\x0c"))), F.lit(""))
 
 
 def split_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per line: where it stands, and its compared form (null for a blank line, which is never a duplicate)."""
+    """One row per line that is not blank: where it stands, its form, and 128 bits that stand for it."""
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("twin"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    form = F.lower(F.trim(F.regexp_replace("line", r"[\s\x{200b}\x{feff}]+", " ")))
-    return rows.withColumn("place", F.struct("id", "twin", "line_no")).select("place", F.nullif(form, F.lit("")).alias("form"))
+    formed = rows.select(F.struct("id", "twin", "line_no").alias("place"), form_of(F.col("line")).alias("form")).where("form is not null")
+    return formed.select("place", "form", F.xxhash64("form").alias("h1"), F.xxhash64(F.lit(7), "form").alias("h2"))
 
 
-def half_keys(form: str) -> Column:
-    """Hashes of both halves as a line of its own length has them, and as a line shorter by one has them."""
-    n, c = F.length(form), F.col(form)
-    entries = []
+def piece_keys(pieces: int) -> Column:
+    """Keys of ``form``: hashes of all but one piece, as a line of its own length is cut and (``less`` 1) as one shorter by
+    one is; ``piece`` is the one left out."""
+    n, c, entries = F.length("form"), F.col("form"), []
     for less in (0, 1):
         size = n - less
-        half = F.floor(size / 2).cast("int")
-        rest = size - half
-        entries.append(F.struct(F.xxhash64(F.lit("left"), size, F.left(c, half)).alias("half"), F.lit(True).alias("left")))
-        entries.append(F.struct(F.xxhash64(F.lit("right"), size, F.right(c, rest)).alias("half"), F.lit(False).alias("left")))
+        for piece in range(pieces):
+            head, tail = F.floor(size * piece / pieces).cast("int"), size - F.floor(size * (piece + 1) / pieces).cast("int")
+            key = F.xxhash64(F.lit(pieces * 10 + piece), size, F.left(c, head), F.right(c, tail))
+            entries.append(F.struct(key.alias("key"), F.lit(less).alias("less"), F.lit(piece).alias("piece")))
     return F.array(*entries)
 
 
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """Keys of ``keyed`` (``key``, ``h1``) that different lines have."""
+    return keyed.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low != high").select("key")
+
+
+def bitmap(keys: DataFrame) -> bytearray:
+    """The slots of ``key`` as ``BITS`` bits, whatever their number."""
+    slot = F.pmod("key", F.lit(BITS))
+    bit = F.call_function("shiftleft", F.lit(1), (slot % 8).cast("int"))
+    out = bytearray(BITS // 8)
+    for r in keys.groupBy(F.shiftright(slot, 3).cast("int").alias("byte")).agg(F.bit_or(bit).alias("bits")).collect():
+        out[r["byte"]] = r["bits"]
+    return out
+
+
+def in_bitmap(bits: bytearray, key: Column) -> Column:
+    slot = F.pmod(key, F.lit(BITS))
+    byte = F.conv(F.hex(F.substring(F.lit(bits), (F.shiftright(slot, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, (slot % 8).cast("int")).bitwiseAND(1) == 1
+
+
+def candidates(lines: DataFrame) -> DataFrame:
+    """``h1``, ``h2``, ``place`` (the first), ``form``, ``less``, ``piece``: lines that agree with a different one in all but
+    one quarter."""
+    spark = lines.sparkSession
+    long = lines.where(F.length("form") >= SHORT)
+    halves = long.select("h1", F.explode(F.transform(piece_keys(2), lambda p: p["key"])).alias("key"))
+    shared = stage(shared_keys(halves), run_dir(spark, "half-keys"))
+    bits = bitmap(shared)
+    maybe = long.withColumn("keys", F.transform(piece_keys(2), lambda p: p["key"])).where(F.exists("keys", lambda k: in_bitmap(bits, k)))
+    kept = maybe.withColumn("key", F.explode("keys")).drop("keys").join(shared, "key")
+    kept = kept.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("form").alias("form"))
+    quarters = stage(kept.withColumn("k", F.explode(piece_keys(4))).select("h1", "h2", "place", "form", "k.*"), run_dir(spark, "quarter-keys"))
+    return quarters.join(shared_keys(quarters), "key").drop("key")
+
+
 def variants(lines: DataFrame) -> DataFrame:
-    """Hashed variants of candidate lines (``h1``, ``h2``, ``place``, ``form``, ``early``, ``late``: whether the edit can lie
-    in the first or last half): ``v``, ``place``, ``h1``, ``h2``.
+    """Hashed variants of candidates: ``v``, ``role``, ``place``, ``h1``, ``h2``; a row of role 0 is near rows of
+    role 0 with its variant, one of role 1 (lost a character) those of role 2 (whole), and the other way round.
 
-    Two kinds meet: replacements (length, position, both sides), and losses against whole lines that stand for a line longer
-    by one. ``early`` and ``late`` reach one character over the middle, as the halves of lengths that differ by one do.
+    Replacements meet by length, position and both sides; a line that loses a character meets the line that it becomes,
+    which stands in for a line longer by one.
     """
-    n = F.length("form")
-    whole = lines.withColumn("n", n)
-    middle = F.floor((F.col("n") - 1) / 2).cast("int")
-    first = F.when(F.col("early"), F.lit(0)).otherwise(middle)
-    last = F.when(F.col("late"), F.col("n") - 1).otherwise(middle + 1)
-    cells = whole.withColumns({"first": first, "last": last}).withColumn(
-        "cell", F.explode(F.sequence(F.floor(F.col("first") / CELL).cast("int"), F.floor(F.col("last") / CELL).cast("int")))
-    )
+    size = F.length("form") - F.col("less")
+    bound = lambda k: F.floor(size * (F.col("piece") + k) / 4).cast("int")
+    ranged = lines.withColumns({"n": F.length("form"), "first": bound(0), "last": F.when(F.col("less") == 0, bound(1) - 1).otherwise(bound(1))})
     at = F.col("cell") * CELL
-    outer = cells.select(
-        "h1", "h2", "place", "n", "cell", "first", "last",
+    over = lambda last: F.explode(F.sequence(F.floor(F.col("first") / CELL).cast("int"), F.floor(last / CELL).cast("int")))
+    outer = ranged.where("first <= last").withColumn("cell", over(F.col("last"))).select(
+        "h1", "h2", "place", "n", "cell", "first", "last", "less",
         F.xxhash64(F.substring("form", F.lit(1), at)).alias("before"),
         F.substring("form", at + 1, F.lit(CELL)).alias("inside"),
         F.xxhash64(F.substring("form", at + CELL + 1, F.col("n"))).alias("behind"),
     )
-    spot = F.sequence(F.greatest(F.col("first") - at, F.lit(0)), F.least(F.col("last") - at, F.length("inside") - 1))
-    lost = outer.withColumn("i", F.explode(spot)).withColumn("left", F.concat(F.substring("inside", F.lit(1), F.col("i")), F.substring("inside", F.col("i") + 2, F.lit(CELL))))
-    side = ["n", "cell", "before", "left", "behind"]
-    loss = lost.select(
-        F.explode(F.array(F.xxhash64(F.lit("same"), "i", *side), F.xxhash64(F.lit("less"), *side))).alias("v"), "place", "h1", "h2"
+    low, high = F.greatest(F.col("first") - at, F.lit(0)), F.least(F.col("last") - at, F.length("inside") - 1)
+    lost = outer.withColumn("i", F.explode(F.when(low <= high, F.sequence(low, high)))).withColumn(
+        "left", F.concat(F.substring("inside", F.lit(1), F.col("i")), F.substring("inside", F.col("i") + 2, F.lit(CELL)))
     )
-    # A whole line as it would look after a line longer by one had lost a character in a given cell.
-    longer = whole.withColumn("cell", F.explode(F.sequence(F.lit(0), F.floor(F.col("n") / CELL).cast("int"))))
+    side = ["n", "cell", "before", "left", "behind"]
+    met = F.when(F.col("less") == 0, F.xxhash64(F.lit("same"), "i", *side)).otherwise(F.xxhash64(F.lit("less"), *side))
+    # A whole line as one longer by one looks after it has lost a character in a given cell.
+    whole = ranged.where("less = 0").withColumn("cell", over(F.col("last") + 1))
     inner = F.substring("form", at + 1, F.least(F.lit(CELL), F.col("n") + 1 - at) - 1)
-    kept = longer.select(
-        F.xxhash64(
-            F.lit("less"), (F.col("n") + 1), "cell", F.xxhash64(F.substring("form", F.lit(1), at)), inner,
-            F.xxhash64(F.substring("form", at + CELL, F.col("n"))),
-        ).alias("v"), "place", "h1", "h2",
-    )
-    return loss.unionByName(kept)
+    rest = F.xxhash64(F.substring("form", at + CELL, F.col("n")))
+    stands = F.xxhash64(F.lit("less"), F.col("n") + 1, "cell", F.xxhash64(F.substring("form", F.lit(1), at)), inner, rest)
+    whole = whole.where(at <= F.col("n")).select(stands.alias("v"), F.lit(2).alias("role"), "place", "h1", "h2")
+    return lost.select(met.alias("v"), F.col("less").alias("role"), "place", "h1", "h2").unionByName(whole)
 
 
 def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 1) -> DataFrame:
-    """Places (``id``, ``twin``, ``line_no``) of the lines that stay: the first of equal lines, unless an earlier line of
-    the corpus lies within one edit (``edits`` 0: only equal lines). Blank lines stay. Order is by key, text hash, line."""
-    spark = docs.sparkSession
-    rows = split_lines(docs, key, text)
-    blank = F.col("form").isNull()
-    equal = rows.groupBy(
-        F.xxhash64("form").alias("h1"), F.xxhash64(F.lit(7), "form").alias("h2"), F.when(blank, F.col("place")).alias("alone")
-    ).agg(F.min("place").alias("place"), F.first(F.length("form")).alias("n"), F.first(half_keys("form")).alias("halves"))
-    equal = stage(equal, run_dir(spark, "lines"))
+    """Places (``id``, ``twin``, ``line_no``) of the lines that stay, blank ones left aside: the first of equal lines,
+    unless an earlier line of the corpus lies within one edit (``edits`` 0: only equal lines). Order is by key, text hash
+    and line number."""
+    lines = split_lines(docs, key, text)
+    equal = lines.groupBy("h1", "h2").agg(F.min("place").alias("place"))
     if not edits:
         return equal.select("place.*")
-    open_ = equal.where(F.col("n") >= SHORT).select("h1", "h2", "place", F.explode("halves").alias("half")).select("h1", "h2", "place", "half.*")
-    # Half keys that different lines share; which half it is says where the edit can lie.
-    shared = open_.groupBy("half").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low != high").select("half")
-    near = open_.join(shared, "half").groupBy("h1", "h2").agg(
-        F.min("place").alias("place"), F.max(~F.col("left")).alias("early"), F.max("left").alias("late")
-    )
-    near = stage(near, run_dir(spark, "line-candidates"))
-    # The forms of candidates come from the documents that hold their first places.
-    spots = near.select("h1", "h2", "early", "late", "place").withColumn("id", F.col("place.id")).withColumn("twin", F.col("place.twin"))
-    per_doc = spots.groupBy("id", "twin").agg(F.collect_list(F.struct(F.col("place.line_no").alias("line_no"), "h1", "h2", "early", "late")).alias("spots"))
-    texts = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("twin"), F.col(text).alias("text")).dropDuplicates(["id", "twin"])
-    held = texts.join(per_doc, texts["id"].eqNullSafe(per_doc["id"]) & (texts["twin"] == per_doc["twin"]))
-    form = F.lower(F.trim(F.regexp_replace("line", r"[\s\x{200b}\x{feff}]+", " ")))
-    candidates = (
-        held.select(texts["id"], texts["twin"], F.split("text", "\n").alias("lines"), F.explode("spots").alias("s"))
-        .select(F.struct("id", "twin", "s.line_no").alias("place"), "s.h1", "s.h2", "s.early", "s.late", F.element_at("lines", F.col("s.line_no") + 1).alias("line"))
-        .select("place", "h1", "h2", "early", "late", form.alias("form"))
-    )
-    met = variants(candidates)
-    earliest = met.groupBy("v").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last").select("v", "first")
-    late = met.join(earliest, "v").where("place > first").select("h1", "h2").distinct()
-    stays = equal.join(late.withColumn("gone", F.lit(True)), ["h1", "h2"], "left").where("gone is null or alone is not null")
-    return stays.select("place.*")
+    met = variants(candidates(lines))
+    first = [F.min(F.when(F.col("role") == role, F.col("place"))).alias(f"first{role}") for role in (0, 1, 2)]
+    earliest = met.groupBy("v").agg(*first, F.min("place").alias("low"), F.max("place").alias("high")).where("low < high").drop("low", "high")
+    before = F.when(F.col("role") == 0, F.col("first0")).when(F.col("role") == 1, F.col("first2")).otherwise(F.col("first1"))
+    late = met.join(earliest, "v").where(before < F.col("place")).select("h1", "h2").distinct()
+    return equal.join(stage(late, run_dir(docs.sparkSession, "late-lines")), ["h1", "h2"], "left_anti").select("place.*")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 1, count: str | None = None) -> DataFrame:
@@ -132,11 +149,14 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     packed = docs.select(lines, F.col(key).alias("id"), F.xxhash64(text).alias("twin"))
     joined = packed.join(kept, packed["id"].eqNullSafe(kept["id"]) & (packed["twin"] == kept["twin"]), "left")
     parts = F.split(F.col(f"row.`{text}`"), "\n")
-    cut = F.array_join(F.transform("kept", lambda i: F.element_at(parts, i + 1)), "\n")
+    blank = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: form_of(F.element_at(parts, i + 1)).isNull())
+    stays = F.array_sort(F.concat(F.coalesce("kept", F.array().cast("array<int>")), blank))
+    joined = joined.withColumn("stays", stays)
+    cut = F.array_join(F.transform("stays", lambda i: F.element_at(parts, i + 1)), "\n")
     new = F.when(F.col(f"row.`{text}`").isNotNull(), F.coalesce(cut, F.lit("")))
     out = [new.alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns]
     if count:
-        out.append(F.when(F.col(f"row.`{text}`").isNull(), 0).otherwise(F.coalesce(F.size("kept"), F.lit(0))).cast("long").alias(count))
+        out.append(F.when(F.col(f"row.`{text}`").isNull(), 0).otherwise(F.coalesce(F.size("stays"), F.lit(0))).cast("long").alias(count))
     return joined.select(*out)
 
 
@@ -144,7 +164,7 @@ SQL = r"""
 WITH split AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents
 ), lines AS (
-  SELECT doc_id, line_no, nullif(lower(trim(regexp_replace(line, '[ \t\n\v\f\r\x{200b}\x{feff}]+', ' ', 'g'))), '') AS form FROM split
+  SELECT doc_id, line_no, nullif(lower(trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12))), '') AS form FROM split
 ), firsts AS (
   SELECT form, min((doc_id, line_no)) AS place, length(form) AS n FROM lines WHERE form IS NOT NULL GROUP BY form
 ), halves AS (

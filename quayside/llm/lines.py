@@ -27,29 +27,38 @@ CELL = 64
 BITS = 1 << 20
 
 
-def form_of(line: Column) -> Column:
-    """What lines are compared by; null for a blank line, which is never a duplicate."""
-    return F.nullif(F.lower(F.trim(line, F.lit(" \t\r\x0b\x0c"))), F.lit(""))
+def trimmed(line: Column) -> Column:
+    return F.trim(line, F.lit(" \t\r\x0b\x0c"))
 
 
 def split_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per line that is not blank: where it stands, its form, and 128 bits that stand for it."""
+    """One row per line that is not blank: where it stands, the form that lines are compared by, and 128 bits for it."""
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("twin"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    formed = rows.select(F.struct("id", "twin", "line_no").alias("place"), form_of(F.col("line")).alias("form")).where("form is not null")
+    formed = rows.where(trimmed(F.col("line")) != "").select(F.struct("id", "twin", "line_no").alias("place"), F.lower(trimmed(F.col("line"))).alias("form"))
     return formed.select("place", "form", F.xxhash64("form").alias("h1"), F.xxhash64(F.lit(7), "form").alias("h2"))
 
 
-def piece_keys(pieces: int) -> Column:
-    """Keys of ``form``: hashes of all but one piece, as a line of its own length is cut and (``less`` 1) as one shorter by
-    one is; ``piece`` is the one left out."""
-    n, c, entries = F.length("form"), F.col("form"), []
-    for less in (0, 1):
-        size = n - less
-        for piece in range(pieces):
-            head, tail = F.floor(size * piece / pieces).cast("int"), size - F.floor(size * (piece + 1) / pieces).cast("int")
-            key = F.xxhash64(F.lit(pieces * 10 + piece), size, F.left(c, head), F.right(c, tail))
-            entries.append(F.struct(key.alias("key"), F.lit(less).alias("less"), F.lit(piece).alias("piece")))
-    return F.array(*entries)
+def cut_at(size: Column, piece: int | Column, power: int) -> Column:
+    """Where a piece of a line of ``size`` characters begins, of ``2 ** power`` pieces."""
+    return F.shiftright(size * piece, power).cast("int")
+
+
+def piece_key(less: int, piece: int, power: int) -> Column:
+    """Hash of ``form`` without one piece, as a line shorter by ``less`` is cut."""
+    size = F.length("form") - less
+    return F.xxhash64(F.lit(power * 10 + piece), size, F.left("form", cut_at(size, piece, power)), F.right("form", size - cut_at(size, piece + 1, power)))
+
+
+def half_keys() -> Column:
+    """Both half keys for both lengths; null for a line that is too short for an edit."""
+    keys = F.array(*[piece_key(less, piece, 1) for less in (0, 1) for piece in (0, 1)])
+    return F.when(F.length("form") >= SHORT, keys)
+
+
+def quarter_keys() -> Column:
+    """Keys by the quarter left out (``piece``), with ``less`` as in ``piece_key``."""
+    entries = [(piece_key(less, piece, 2), less, piece) for less in (0, 1) for piece in range(4)]
+    return F.array(*[F.struct(k.alias("key"), F.lit(less).alias("less"), F.lit(piece).alias("piece")) for k, less, piece in entries])
 
 
 def shared_keys(keyed: DataFrame) -> DataFrame:
@@ -77,14 +86,11 @@ def candidates(lines: DataFrame) -> DataFrame:
     """``h1``, ``h2``, ``place`` (the first), ``form``, ``less``, ``piece``: lines that agree with a different one in all but
     one quarter."""
     spark = lines.sparkSession
-    long = lines.where(F.length("form") >= SHORT)
-    halves = long.select("h1", F.explode(F.transform(piece_keys(2), lambda p: p["key"])).alias("key"))
-    shared = stage(shared_keys(halves), run_dir(spark, "half-keys"))
+    shared = stage(shared_keys(lines.select("h1", F.explode(half_keys()).alias("key"))), run_dir(spark, "half-keys"))
     bits = bitmap(shared)
-    maybe = long.withColumn("keys", F.transform(piece_keys(2), lambda p: p["key"])).where(F.exists("keys", lambda k: in_bitmap(bits, k)))
-    kept = maybe.withColumn("key", F.explode("keys")).drop("keys").join(shared, "key")
-    kept = kept.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("form").alias("form"))
-    quarters = stage(kept.withColumn("k", F.explode(piece_keys(4))).select("h1", "h2", "place", "form", "k.*"), run_dir(spark, "quarter-keys"))
+    maybe = lines.select("*", F.explode(half_keys()).alias("key")).where(in_bitmap(bits, F.col("key")))
+    kept = maybe.join(shared, "key").groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("form").alias("form"))
+    quarters = stage(kept.withColumn("k", F.explode(quarter_keys())).select("h1", "h2", "place", "form", "k.*"), run_dir(spark, "quarter-keys"))
     return quarters.join(shared_keys(quarters), "key").drop("key")
 
 
@@ -96,7 +102,7 @@ def variants(lines: DataFrame) -> DataFrame:
     which stands in for a line longer by one.
     """
     size = F.length("form") - F.col("less")
-    bound = lambda k: F.floor(size * (F.col("piece") + k) / 4).cast("int")
+    bound = lambda k: cut_at(size, F.col("piece") + k, 2)
     ranged = lines.withColumns({"n": F.length("form"), "first": bound(0), "last": F.when(F.col("less") == 0, bound(1) - 1).otherwise(bound(1))})
     at = F.col("cell") * CELL
     over = lambda last: F.explode(F.sequence(F.floor(F.col("first") / CELL).cast("int"), F.floor(last / CELL).cast("int")))
@@ -149,7 +155,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     packed = docs.select(lines, F.col(key).alias("id"), F.xxhash64(text).alias("twin"))
     joined = packed.join(kept, packed["id"].eqNullSafe(kept["id"]) & (packed["twin"] == kept["twin"]), "left")
     parts = F.split(F.col(f"row.`{text}`"), "\n")
-    blank = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: form_of(F.element_at(parts, i + 1)).isNull())
+    blank = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: trimmed(F.element_at(parts, i + 1)) == "")
     stays = F.array_sort(F.concat(F.coalesce("kept", F.array().cast("array<int>")), blank))
     joined = joined.withColumn("stays", stays)
     cut = F.array_join(F.transform("stays", lambda i: F.element_at(parts, i + 1)), "\n")

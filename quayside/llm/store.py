@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ from quayside.session import run_dir
 
 MAGIC = b"QIDS0001"
 #: Pretoken chunks kept in memory by a worker.
-CHUNKS = 300_000
+CHUNKS = 600_000
 
 
 def mix64(x: np.ndarray, seed: int) -> np.ndarray:
@@ -149,7 +150,7 @@ class Encoder:
     def __init__(self, path: str, width: int) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind = Tokenizer.from_file(path), f"<u{width}"
+        self.tokenizer, self.kind = Tokenizer.from_file(path), "H" if width == 2 else "I"
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -162,7 +163,7 @@ class Encoder:
         self.new.update((w, known) for w in missing if (known := self.old.get(w)) is not None)
         fresh = list(missing.difference(self.new))
         for word, coded in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.new[word] = np.array(coded.ids, self.kind).tobytes()
+            self.new[word] = array(self.kind, coded.ids).tobytes()
         of = self.new.__getitem__
         return [b"".join(map(of, row)) for row in rows]
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quayside.plans.medallion import Medallion, bronze_rows
 from quayside.plans.schemas import bronze
-from quayside.sources.changes import append_changes, log_schema
+from quayside.sources.changes import COMMIT_VERSION, append_changes, log_schema, path_exists
 
 
 def json_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int = 1000) -> DataFrame:
@@ -34,14 +34,27 @@ def with_ingest_metadata(events: DataFrame, partitions: int = 4, key: str | None
     return events.withColumns({name: value for name, value in columns.items() if name not in events.columns})
 
 
+def first_free_version(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """The version after the last commit of a log when a stream first starts; kept beside its checkpoint from then on."""
+    start = f"{checkpoint}-start"
+    if not path_exists(spark, start):
+        last = spark.read.parquet(path).agg(F.max(COMMIT_VERSION)).first()[0] if path_exists(spark, path) else None
+        spark.range(1).select(F.lit((last or 0) + 1).cast("long").alias("version")).write.parquet(start)
+    return spark.read.schema("version long").parquet(start).first()["version"]
+
+
 def land_stream(
-    source: DataFrame, path: str, checkpoint: str, *, first_version: int = 1, available_now: bool = True
+    source: DataFrame, path: str, checkpoint: str, *, first_version: int | None = None, available_now: bool = True
 ) -> StreamingQuery:
-    """Append a stream to a change log, one commit per micro-batch.
+    """Append a stream to a change log, one commit per micro-batch, after the commits that are already there.
 
     The commit version follows from the batch number and a batch overwrites its
     own version folder, so a batch that is retried after a failure lands once.
+    A new checkpoint starts after all commits of the log and lands its source anew.
+    While a stream lands, nothing else may commit to the same log.
     """
+    if first_version is None:
+        first_version = first_free_version(source.sparkSession, path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         append_changes(batch, path, first_version + batch_id)

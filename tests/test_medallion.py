@@ -125,3 +125,22 @@ def test_stream_equals_batch(spark, tmp_path):
     got = counts(lake)
     assert (got["Order"], got["OrderLine"], got["Shipment"]) == (3, 4, 3)
     assert lake.latest("Orders") == 2
+
+
+def test_landing_keeps_commits_already_there(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from quayside.sources.changes import append_changes
+    from quayside.streaming.jobs import json_stream, land_stream
+
+    log, source = str(tmp_path / "log"), tmp_path / "in"
+    source.mkdir()
+    append_changes(spark.createDataFrame([("one",)], "name string"), log, 1)
+    (source / "a.json").write_text('{"name": "two"}\n')
+    land_stream(json_stream(spark, str(source), "name string"), log, str(tmp_path / "c1")).awaitTermination()
+    (source / "b.json").write_text('{"name": "three"}\n')
+    land_stream(json_stream(spark, str(source), "name string"), log, str(tmp_path / "c1")).awaitTermination()
+    rows = spark.read.parquet(log).select("name", F.col("_commit_version").alias("v")).collect()
+    assert sorted(r.name for r in rows) == ["one", "three", "two"]
+    land_stream(json_stream(spark, str(source), "name string"), log, str(tmp_path / "c2")).awaitTermination()
+    assert sorted(r.name for r in spark.read.parquet(log).collect()) == ["one", "three", "three", "two", "two"]

@@ -151,18 +151,18 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     and may have any name; ``count`` names one to add, the number of lines that stay. Empty tables stay empty.
     """
     kept = kept_lines(docs, key, text, edits).groupBy("id", "twin").agg(F.array_sort(F.collect_list("line_no")).alias("kept"))
-    lines = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    packed = docs.select(lines, F.col(key).alias("id"), F.xxhash64(text).alias("twin"))
+    rest = [c for c in docs.columns if c != text]
+    row = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0)
+    # Split before the join: inside a lambda the text would be split again for each of its lines.
+    packed = docs.select(row.alias("row"), F.split(text, "\n").alias("parts"), F.col(key).alias("id"), F.xxhash64(text).alias("twin"))
     joined = packed.join(kept, packed["id"].eqNullSafe(kept["id"]) & (packed["twin"] == kept["twin"]), "left")
-    parts = F.split(F.col(f"row.`{text}`"), "\n")
-    blank = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: trimmed(F.element_at(parts, i + 1)) == "")
+    blank = F.filter(F.sequence(F.lit(0), F.size("parts") - 1), lambda i: trimmed(F.element_at("parts", i + 1)) == "")
     stays = F.array_sort(F.concat(F.coalesce("kept", F.array().cast("array<int>")), blank))
-    joined = joined.withColumn("stays", stays)
-    cut = F.array_join(F.transform("stays", lambda i: F.element_at(parts, i + 1)), "\n")
-    new = F.when(F.col(f"row.`{text}`").isNotNull(), F.coalesce(cut, F.lit("")))
+    joined = joined.withColumn("stays", F.when(F.col("parts").isNotNull(), stays))
+    new = F.array_join(F.transform("stays", lambda i: F.element_at("parts", i + 1)), "\n")
     out = [new.alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns]
     if count:
-        out.append(F.when(F.col(f"row.`{text}`").isNull(), 0).otherwise(F.coalesce(F.size("stays"), F.lit(0))).cast("long").alias(count))
+        out.append(F.coalesce(F.size("stays"), F.lit(0)).cast("long").alias(count))
     return joined.select(*out)
 
 

@@ -1,4 +1,4 @@
-"""Calendars. They hold one row per day, at most 3.7 million for years 1 to 9999, so they may be broadcast."""
+"""Calendars. They hold one row per day of the observed range; whether one is broadcast is left to its size."""
 
 from __future__ import annotations
 
@@ -61,10 +61,21 @@ def calendar_between(spark: SparkSession, first: str, last: str) -> DataFrame:
 def join_on_day(fact: DataFrame, ts: str, days: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Left join of a timestamp to a calendar by its date part only."""
     side = days.select(F.col(DATE).alias("_day"), *(columns or days.columns))
-    return fact.join(F.broadcast(side), booked_date(fact[ts]) == side["_day"], "left").drop("_day")
+    return fact.join(side, booked_date(fact[ts]) == side["_day"], "left").drop("_day")
 
 
 def order_label_by(df: DataFrame, label: str, key: str | None = None) -> DataFrame:
     """The distinct labels in the order of another column."""
     key = key or SORT_BY[label]
-    return df.groupBy(label).agg(F.min(key).alias("_key")).orderBy("_key").select(label)
+    return df.groupBy(label).agg(F.min(key).alias("_key")).orderBy("_key", label).select(label)
+
+
+def ordered_labels(df: DataFrame, label: str, key: str | None = None) -> DataFrame:
+    """One row with ``labels``, the distinct labels as an array in the order of another column.
+
+    The array is sorted by value: rows of a sort may reach an aggregate in any order.
+    """
+    key = key or SORT_BY[label]
+    firsts = df.groupBy(label).agg(F.min(key).alias("_key"))
+    pairs = F.array_sort(F.collect_list(F.struct("_key", label)))
+    return firsts.agg(F.transform(pairs, lambda pair: pair[label]).alias("labels"))

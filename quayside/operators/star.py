@@ -30,7 +30,7 @@ def _key(df: DataFrame, column: str, day_only: bool) -> Column:
     return booked_date(df[column]) if day_only else df[column]
 
 
-def _unique(df: DataFrame, key: str, label: str) -> DataFrame:
+def require_unique(df: DataFrame, key: str, label: str) -> DataFrame:
     """Fail when a one side repeats a key; the check combines before its shuffle."""
     row = F.struct(*[c for c in df.columns if c != key])
     message = F.concat(F.lit(f"{label} is not unique on {key}: "), F.col(key).cast("string"))
@@ -69,8 +69,8 @@ def related_one(left: DataFrame, right: DataFrame, rel: Relationship, *, use_ina
     """Full outer join of two one sides; a repeated key on either side is an error."""
     if not rel.active and not use_inactive:
         raise ValueError(f"{rel.from_table}.{rel.from_column} -> {rel.to_table} is only used on request")
-    a = _unique(left, rel.from_column, rel.from_table)
-    b = _unique(right, rel.to_column, rel.to_table)
+    a = require_unique(left, rel.from_column, rel.from_table)
+    b = require_unique(right, rel.to_column, rel.to_table)
     if rel.to_column != rel.from_column:
         b = b.withColumnRenamed(rel.to_column, rel.from_column)
     return a.join(b, rel.from_column, "full_outer")

@@ -1,7 +1,7 @@
 """The metric set: nineteen measures evaluated over the star, and its calculated columns.
 
 ``evaluate`` reads the order fact once. Every order row is matched, by a
-broadcast day table, to the cells it counts for: as current amount, as amount
+day table, to the cells it counts for: as current amount, as amount
 of the previous period, or of the previous year. One grouping then gives all
 three, so comparing periods needs no second scan and no self join.
 """
@@ -18,7 +18,7 @@ from quayside.functions.conditional import blank_to, not_blank_aware, switch_tru
 from quayside.functions.dates import booked_date, days_between, short_date
 from quayside.functions.numbers import growth, growth_label, money
 from quayside.operators.calendar import DATE, calendar_parts, date_range
-from quayside.operators.star import count_related, path_between
+from quayside.operators.star import count_related, path_between, require_unique
 from quayside.plans.model import RELATIONSHIPS
 
 Tables = Mapping[str, DataFrame]
@@ -70,7 +70,7 @@ def shift_period(days: DataFrame, shift: Column | int, known: DataFrame, out: st
     by = F.lit(shift) if isinstance(shift, int) else shift
     moved = days.withColumn(out, F.date_sub(F.col(DATE), by.cast("int")))
     dates = known.select(F.col(DATE).alias("_known"))
-    return moved.join(F.broadcast(dates), moved[out] == dates["_known"], "left_semi")
+    return moved.join(dates, moved[out] == dates["_known"], "left_semi")
 
 
 def date_range_label(first: Column | str, last: Column | str) -> Column:
@@ -142,7 +142,8 @@ def _split(name: str) -> tuple[str, str]:
 def labels(tables: Tables, start: str, goal: str, columns: Sequence[str]) -> tuple[str, DataFrame]:
     """The key column of ``start`` and a frame (``_fk``, columns of ``goal``) to join on it.
 
-    A path that fans out gives several labels per key, each once.
+    A path that fans out gives several labels per key, each once. Elsewhere a key
+    that repeats would count facts twice, so it fails with an error.
     """
     steps = path_between(RELATIONSHIPS, start, goal)
     head, *rest = steps
@@ -157,7 +158,8 @@ def labels(tables: Tables, start: str, goal: str, columns: Sequence[str]) -> tup
     frame = frame.where(F.col("_fk").isNotNull()).select(
         "_fk", *[F.col(c).alias(_tag(f"{goal}.{c}")) for c in columns]
     )
-    return head.start_column, frame.distinct() if any(s.fans_out for s in steps) else frame
+    several = any(s.fans_out for s in steps)
+    return head.start_column, frame.distinct() if several else require_unique(frame, "_fk", goal)
 
 
 def _label(df: DataFrame, tables: Tables, start: str, by: Sequence[str]) -> DataFrame:
@@ -175,17 +177,28 @@ def _label(df: DataFrame, tables: Tables, start: str, by: Sequence[str]) -> Data
     return df
 
 
+def _among(value: Column, wanted: Sequence[Any]) -> Column:
+    filled = [w for w in wanted if w is not None]
+    found = F.coalesce(value.isin(filled), F.lit(False)) if filled else F.lit(False)
+    return found | value.isNull() if len(filled) < len(wanted) else found
+
+
 def _restrict(df: DataFrame, tables: Tables, start: str, where: Mapping[str, Any]) -> DataFrame:
-    """Keep the rows of ``start`` that filters on related tables reach."""
+    """Keep the rows of ``start`` that filters on related tables reach. A wanted None is the blank member."""
     for name, wanted in where.items():
         table, column = _split(name)
         values = list(wanted) if isinstance(wanted, (list, tuple, set)) else [wanted]
         if table == start:
-            df = df.where(F.col(column).isin(values))
+            df = df.where(_among(F.col(column), values))
             continue
         key, side = labels(tables, start, table, [column])
-        keys = side.where(F.col(_tag(name)).isin(values)).select("_fk").distinct()
-        df = df.join(keys, df[key] == keys["_fk"], "left_semi")
+        hit = _among(F.col(_tag(name)), values)
+        if None in values:  # rows without a partner are blank as well
+            hits = side.groupBy("_fk").agg(F.max(hit).alias("_hit"))
+            df = df.join(hits, df[key] == hits["_fk"], "left").where(F.coalesce("_hit", F.lit(True))).drop("_fk", "_hit")
+        else:
+            keys = side.where(hit).select("_fk").distinct()
+            df = df.join(keys, df[key] == keys["_fk"], "left_semi")
     return df
 
 
@@ -328,7 +341,7 @@ def _order_rows(
         return rows.withColumn("_role", F.lit("cur"))
     cells = day_roles(_bounds(tables), dates, roles, date_from, date_to)
     day, known = rows["_OrderBookedDate"], cells["_day"]
-    rows = rows.join(F.broadcast(cells), day == known if bounded else day.eqNullSafe(known)).drop("_day")
+    rows = rows.join(cells, day == known if bounded else day.eqNullSafe(known)).drop("_day")
     if not others:
         # cells without orders still show
         empty = cells.where((F.col("_role") == "cur") & F.col("_day").isNotNull()).drop("_day").distinct()

@@ -14,7 +14,7 @@ from quayside.plans.model import order_status_types, order_types, relationship_t
 from quayside.plans.schemas import BRONZE_TABLES, MAPPED_TABLES, bronze, silver
 from quayside.session import empty_frame, use_utc
 from quayside.sources import state as states
-from quayside.sources.changes import append_changes, latest_version, open_log, read_changes
+from quayside.sources.changes import append_changes, newest_commit, open_log, open_window
 from quayside.sources.readers import read_csv, read_json
 from quayside.sources.store import SilverStore
 from quayside.sources.tables import conform
@@ -89,7 +89,7 @@ class Medallion:
         return open_log(self.spark, self.log_path(entity), bronze(entity))
 
     def latest(self, entity: str) -> int:
-        return latest_version(self.log(entity)).first()[0] or 0
+        return newest_commit(self.spark, self.log_path(entity))
 
     def land(self, entity: str, rows: DataFrame, version: int | None = None) -> int:
         """Append one commit to a bronze log."""
@@ -116,14 +116,14 @@ class Medallion:
 
     def run(self, entity: str) -> bool:
         """Process what arrived since the last run. Returns whether there was anything."""
-        log = self.log(entity)
-        todo = states.version_window(states.read_state(self.spark, self.state_path), log, entity).first()
-        if not states.has_new_data(todo.next_version, todo.latest_version):
+        first = states.next_version(states.read_state(self.spark, self.state_path), entity)
+        last = self.latest(entity)
+        if not states.has_new_data(first, last):
             return False
         # the upper bound keeps a commit that arrives meanwhile for the next run
-        changes = read_changes(log, todo.next_version, todo.latest_version)
-        self.process(entity, changes, todo.latest_version)
-        states.advance(self.spark, self.state_path, entity, todo.latest_version)
+        changes = open_window(self.spark, self.log_path(entity), bronze(entity), first, last)
+        self.process(entity, changes, last)
+        states.advance(self.spark, self.state_path, entity, last)
         return True
 
     def run_all(self, entities: Sequence[str] | None = None) -> dict[str, bool]:

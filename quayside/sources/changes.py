@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.session import empty_frame
-from quayside.sources.readers import path_exists
+from quayside.sources.readers import path_exists, subfolders
 
 COMMIT_VERSION = "_commit_version"
 CHANGE_TYPE = "_change_type"
@@ -60,6 +60,26 @@ def latest_version(log: DataFrame) -> DataFrame:
     return log.agg(F.max(COMMIT_VERSION).alias("version"))
 
 
+def newest_commit(spark: SparkSession, path: str) -> int:
+    """Highest finished version of a log, 0 before the first one, by folder names: no file of the log is opened.
+
+    A folder counts once its write has left the ``_SUCCESS`` mark, so a commit under way is not taken for a whole one.
+    """
+    prefix = f"{COMMIT_VERSION}="
+    names = subfolders(spark, path) if path_exists(spark, path) else []
+    versions = sorted((int(n.removeprefix(prefix)) for n in names if n.startswith(prefix)), reverse=True)
+    return next((v for v in versions if path_exists(spark, f"{path}/{prefix}{v}/_SUCCESS")), 0)
+
+
+def open_window(spark: SparkSession, path: str, schema: T.StructType, first: int, last: int) -> DataFrame:
+    """Changes of the versions from ``first`` to ``last``; only their folders are listed and opened."""
+    folders = [f"{path}/{COMMIT_VERSION}={v}" for v in range(first, last + 1)]
+    folders = [f for f in folders if path_exists(spark, f)]
+    if not folders:
+        return empty_frame(spark, log_schema(schema))
+    return spark.read.schema(log_schema(schema)).option("basePath", path).parquet(*folders)
+
+
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], *, images: bool = True) -> DataFrame:
     """The changes that turn ``before`` into ``after``; both unique on ``keys``.
 

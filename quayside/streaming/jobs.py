@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quayside.plans.medallion import Medallion, bronze_rows
 from quayside.plans.schemas import bronze
-from quayside.sources.changes import COMMIT_VERSION, append_changes, log_schema, path_exists
+from quayside.sources.changes import append_changes, log_schema, newest_commit, path_exists
 
 
 def json_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int = 1000) -> DataFrame:
@@ -38,8 +38,7 @@ def first_free_version(spark: SparkSession, path: str, checkpoint: str) -> int:
     """The version after the last commit of a log when a stream first starts; kept beside its checkpoint from then on."""
     start = f"{checkpoint}-start"
     if not path_exists(spark, start):
-        last = spark.read.parquet(path).agg(F.max(COMMIT_VERSION)).first()[0] if path_exists(spark, path) else None
-        spark.range(1).select(F.lit((last or 0) + 1).cast("long").alias("version")).write.parquet(start)
+        spark.range(1).select(F.lit(newest_commit(spark, path) + 1).cast("long").alias("version")).write.parquet(start)
     return spark.read.schema("version long").parquet(start).first()["version"]
 
 

@@ -12,7 +12,7 @@ from quayside.operators.calendar import (
     date_dimension,
     date_range,
     join_on_day,
-    order_label_by,
+    ordered_labels,
 )
 from quayside.operators.summarise import Agg, drill, drill_rollup
 from quayside.plans.measures import date_range_label, days_in_range, shift_period
@@ -98,8 +98,8 @@ def rolled(spark, sf):
 def labels_in_order(spark, sf):
     """Month names in calendar order, with the place each gets in a report (twelve labels at most)."""
     days = calendar_parts(load(spark, sf, "orders").select(F.to_date("o_orderdate").alias("Date")))
-    labels = order_label_by(days, "Month").agg(F.collect_list("Month").alias("m"))
-    return labels.select(F.posexplode("m").alias("place", "Month")).select("Month", (F.col("place") + 1).alias("place"))
+    labels = ordered_labels(days, "Month")
+    return labels.select(F.posexplode("labels").alias("place", "Month")).select("Month", (F.col("place") + 1).alias("place"))
 
 
 @query(

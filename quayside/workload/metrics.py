@@ -212,29 +212,18 @@ FLAGS = """flags AS (SELECT c_custkey, c_mktsegment, CASE WHEN n > 1 THEN true W
 COUNTS = """count(DISTINCT c_custkey) FILTER (WHERE flag) AS "_CountRepeatCustomers",
   count(DISTINCT c_custkey) FILTER (WHERE NOT coalesce(flag, false)) AS "_CountNewCustomers",
   count(DISTINCT c_custkey) FILTER (WHERE flag IS NOT NULL) AS "_CountCustomersWithOrders" """
-# one quarter of orders leaves customers with none, one and several
-QUARTER = f"""{STAR_SQL.replace('lines AS', 'lines0 AS', 1).replace('o AS (', 'oo AS (', 1).replace('LEFT JOIN lines ON', 'LEFT JOIN lines0 ON')},
-  o AS (SELECT * FROM oo WHERE d BETWEEN DATE '1997-01-01' AND DATE '1997-03-31')"""
 
-
-def _quarter(spark, sf):
-    s = star(spark, sf)
-    booked = F.to_date("OrderBookedDate")
-    s["Order"] = s["Order"].where(booked.between(F.lit("1997-01-01").cast("date"), F.lit("1997-03-31").cast("date")))
-    return s
-
-
-@query("customers_repeat_new", f"WITH {QUARTER}, {FLAGS} SELECT {COUNTS} FROM flags")
+@query("customers_repeat_new", f"WITH {STAR_SQL}, {FLAGS} SELECT {COUNTS} FROM flags")
 def repeat_new(spark, sf):
-    return evaluate(_quarter(spark, sf), CUSTOMERS)
+    return evaluate(star(spark, sf), CUSTOMERS)
 
 
 @query(
     "customers_repeat_new_by_segment",
-    f"""WITH {QUARTER}, {FLAGS} SELECT c_mktsegment AS "Segment", {COUNTS} FROM flags GROUP BY c_mktsegment""",
+    f"""WITH {STAR_SQL}, {FLAGS} SELECT c_mktsegment AS "Segment", {COUNTS} FROM flags GROUP BY c_mktsegment""",
 )
 def repeat_new_by_segment(spark, sf):
-    return evaluate(_quarter(spark, sf), CUSTOMERS, ["IndividualCustomer.Segment"])
+    return evaluate(star(spark, sf), CUSTOMERS, ["IndividualCustomer.Segment"])
 
 
 @query(
@@ -249,22 +238,22 @@ def customers_by_month(spark, sf):
 
 @query(
     "customer_flags",
-    f"""WITH {QUARTER}, {FLAGS} SELECT c_custkey AS "CustomerId", flag AS "_HasMultipleOrders",
+    f"""WITH {STAR_SQL}, {FLAGS} SELECT c_custkey AS "CustomerId", flag AS "_HasMultipleOrders",
     CASE WHEN flag THEN 'Repeat customers' WHEN NOT flag THEN 'New customers' END AS "_RepeatOrNewCustomer" FROM flags""",
 )
 def customer_flags(spark, sf):
-    s = _quarter(spark, sf)
+    s = star(spark, sf)
     flagged = add_repeatornewcustomer(add_hasmultipleorders(s["IndividualCustomer"], s["Order"]))
     return flagged.select("CustomerId", "_HasMultipleOrders", "_RepeatOrNewCustomer")
 
 
 @query(
     "multiple_orders",
-    f"""WITH {QUARTER} SELECT "CustomerId", count(DISTINCT "CustomerId") > 1 AS "Multiple Orders"
+    f"""WITH {STAR_SQL} SELECT "CustomerId", count(DISTINCT "CustomerId") > 1 AS "Multiple Orders"
     FROM o GROUP BY "CustomerId" """,
 )
 def multiple_orders(spark, sf):
-    return evaluate(_quarter(spark, sf), ["Multiple Orders"], ["IndividualCustomer.CustomerId"])
+    return evaluate(star(spark, sf), ["Multiple Orders"], ["IndividualCustomer.CustomerId"])
 
 
 @query(

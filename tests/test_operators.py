@@ -17,7 +17,7 @@ from quayside.operators.variants import expand_variants, option_lists
 from quayside.plans.measures import evaluate
 from quayside.plans.model import RELATIONSHIPS
 from quayside.session import shared_dir
-from quayside.sources.changes import append_changes, open_log, read_changes
+from quayside.sources.changes import append_changes, newest_commit, open_log, open_window, read_changes
 from quayside.sources.readers import jdbc_options
 
 TARGET, SOURCE = "k int, v string", "id int, Verb string, w string, at int"
@@ -288,3 +288,38 @@ def test_in_place_merge_needs_a_row_level_format(spark):
             merge_table(s, "quayside_rowlevel", MergeSpec.upsert({"k": "id"}, {"v": "w"}), delete_verb="Verb")
     finally:
         spark.sql("DROP TABLE quayside_rowlevel")
+
+
+def shops(spark, repeated):
+    """Three orders: of a customer in France, of one whose place has no country, and of one without a place."""
+    rows = lambda data, kinds: spark.createDataFrame(data, kinds)
+    return {
+        "Order": rows([(1, "a", "2024-01-05", 10.0), (2, "b", "2024-01-06", 20.0), (3, "c", "2024-01-07", 40.0)],
+                      "OrderId long, CustomerId string, OrderBookedDate string, OrderTotalAmount double"),
+        "IndividualCustomer": rows([("a",), ("b",), ("c",)], "CustomerId string"),
+        "CustomerLocation": rows([("a", "p"), ("b", "q")] + [("a", "p")] * repeated, "CustomerId string, LocationId string"),
+        "Location": rows([("p", 1), ("q", None)], "LocationId string, CountryId long"),
+        "Country": rows([(1, "France"), (2, "Spain")], "CountryId long, IsoCountryName string"),
+    }
+
+
+def test_blank_is_a_value_to_filter_by(spark):
+    total = lambda wanted: evaluate(shops(spark, 0), ["_OrderTotalAmount"], where={"Country.IsoCountryName": wanted}).first()[0]
+    assert (total([None]), total(["France"]), total(["France", None]), total(["Spain"])) == (60.0, 10.0, 70.0, 0.0)
+
+
+def test_repeated_one_side_fails(spark):
+    with pytest.raises(Exception, match="not unique"):
+        evaluate(shops(spark, 1), ["_OrderTotalAmount"], ["Country.IsoCountryName"]).collect()
+
+
+def test_newest_commit_is_a_finished_one(spark, tmp_path):
+    log = str(tmp_path / "log")
+    assert newest_commit(spark, log) == 0
+    for version in (1, 2, 11):
+        append_changes(spark.range(version), log, version)
+    (tmp_path / "log" / "_commit_version=12").mkdir()
+    assert newest_commit(spark, log) == 11
+    window = open_window(spark, log, spark.range(1).schema, 2, 11)
+    assert Counter(r["_commit_version"] for r in window.collect()) == {2: 2, 11: 11}
+    assert open_window(spark, log, spark.range(1).schema, 3, 9).collect() == []

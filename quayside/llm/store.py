@@ -31,6 +31,8 @@ from quayside.session import run_dir
 MAGIC = b"QIDS0001"
 #: Pretoken chunks kept in memory by a worker.
 CHUNKS = 600_000
+#: Chunks of letters that the library encodes as one text.
+JOINED = 64
 
 
 def mix64(x: np.ndarray, seed: int) -> np.ndarray:
@@ -144,7 +146,8 @@ class Encoder:
     """Whole texts through the tokenizers library, chunk by chunk.
 
     Space, tab and line ends never lie inside a token of a tokenizer that drops white space, so the chunks between them
-    are encoded on their own, each different one once as long as it is kept.
+    are encoded on their own, each different one once as long as it is kept. Chunks of letters alone go to the library
+    many at a time: where tokens mark the ends of words, as many marks as chunks show that each chunk is one word.
     """
 
     def __init__(self, path: str, width: int) -> None:
@@ -153,6 +156,28 @@ class Encoder:
         self.tokenizer, self.kind = Tokenizer.from_file(path), "H" if width == 2 else "I"
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if suffix and token.endswith(suffix)]] = True
+
+    def encode_chunks(self, chunks: set[str]) -> Iterator[tuple[str, bytes]]:
+        """Each chunk with its ids."""
+        words = [c for c in chunks if c.isalpha()] if self.ends.any() else []
+        single = list(chunks.difference(words))
+        width = array(self.kind).itemsize
+        groups = [words[k : k + JOINED] for k in range(0, len(words), JOINED)]
+        for group, coded in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(coded.ids, f"<u{width}")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(group) or stops[-1] != len(ids):
+                single += group  # a letter that becomes several signs in lower case, for one
+                continue
+            raw, start = ids.tobytes(), 0
+            for chunk, stop in zip(group, (stops * width).tolist(), strict=True):
+                yield chunk, raw[start:stop]
+                start = stop
+        for chunk, coded in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
+            yield chunk, array(self.kind, coded.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         rows = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
@@ -161,9 +186,7 @@ class Encoder:
         if len(self.new) + len(missing) > CHUNKS:
             self.old, self.new, missing = self.new, {}, words
         self.new.update((w, known) for w in missing if (known := self.old.get(w)) is not None)
-        fresh = list(missing.difference(self.new))
-        for word, coded in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.new[word] = array(self.kind, coded.ids).tobytes()
+        self.new.update(self.encode_chunks(missing.difference(self.new)))
         of = self.new.__getitem__
         return [b"".join(map(of, row)) for row in rows]
 

@@ -274,3 +274,13 @@ def test_crc32_is_of_ids(spark):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     for r in got:
         assert r.ids_crc32 == zlib.crc32(np.array([*library.encode(texts[r.doc_id], add_special_tokens=False).ids, 2], "<u4").tobytes())
+
+
+def test_store_encodes_chunks_of_letters_as_the_library_does():
+    """Letters that change their number in lower case, marks, added tokens and white space of other kinds."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["", " ", "İstanbul and ŉa ẞ ﬁ ǅ", "a<|endoftext|>b <|endof c", "é ́a é", "a\x85b c\xa0d \x0b", "it's we'll x'S", "word, " * 3]
+    own = store.Encoder(path, 2).encode(texts)
+    library = Tokenizer.from_file(path)
+    for text, ids in zip(texts, own, strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids

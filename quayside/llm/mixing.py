@@ -3,8 +3,9 @@
 Each source has a weight schedule over training time 0..1. Its integral, against those of the others, gives the source's
 share of the words to train on; no source gives more than ``most`` times its size, and what is over is shared anew by
 weight. A source's documents stand in a fixed pseudo-random order; the words before a document (its demand) are set
-against the cumulative demand of the schedule, whose inverse is the document's position in training. Documents are then
-sorted by position across ranges.
+against the cumulative demand of the schedule, whose inverse is the document's position in training. A second pass over
+the source goes on where the first ended, so each draw has a position of its own. Draws are then sorted by position
+across ranges.
 
 Running sums never pass through one task: the order of a source is cut into about sqrt(rows) hash ranges, summed per
 range first, so a source with a third of all rows is spread over as many tasks as any other.
@@ -86,11 +87,13 @@ def targets(sizes: DataFrame, mix: Mix) -> DataFrame:
 
 
 def assign(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", text: str = "text", source: str = "source", whole: bool = False) -> DataFrame:
-    """One row per row of ``docs``: ``key``, ``size``, ``source``, ``source_size``, ``target``, ``taken``, ``copies``, ``position``.
+    """One row per row of ``docs``: ``key``, ``size``, ``source``, ``source_size``, ``target``, ``taken``, ``copies``, ``position``,
+    ``positions``.
 
     ``taken`` counts the words drawn in up to ``most`` passes over the source: documents stand end to end on a circle and
     are taken until the target is met, the last one in part, or with ``whole`` only documents whose middle lies before
-    the target. ``position`` is that of the first draw, null if there is none; ``copies`` counts draws.
+    the target. ``positions`` has one position per draw, pass by pass; ``position`` is the first, null if there is none;
+    ``copies`` counts draws.
 
     A null text has size 0; null sources form one source, after all others; a null key is a key; rows that agree in key
     and size are interchangeable; an empty table gives no rows; other columns are not read.
@@ -122,28 +125,27 @@ def assign(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", text: s
         .withColumn("start", F.col("ahead") + F.col("within"))
     )
     return draws(placed, mix, whole).select(
-        F.col("key").alias(key), "size", F.col("source").alias(source), "source_size", "target", "taken", "copies", "position"
+        F.col("key").alias(key), "size", F.col("source").alias(source), "source_size", "target", "taken", "copies", "position", "positions"
     )
 
 
 def draws(placed: DataFrame, mix: Mix, whole: bool) -> DataFrame:
-    """Words taken in each pass from a document that starts at ``start``, and the position of its first draw."""
+    """Words taken in each pass from a document that starts at ``start``, and the position of each draw."""
     goal = F.floor(F.col("target") + 0.5)
-    taken, copies = F.lit(0), F.lit(0)
+    taken, copies, times = F.lit(0), F.lit(0), []
     for turn in range(mix.most):
         at = F.col("start") + F.col("source_size") * turn
         if whole:
-            got = (F.col("size") > 0) & (at * 2 + F.col("size") < goal * 2)
-            taken, copies = taken + F.when(got, F.col("size")).otherwise(0), copies + got.cast("int")
+            part = F.when((F.col("size") > 0) & (at * 2 + F.col("size") < goal * 2), F.col("size")).otherwise(0)
         else:
             part = F.greatest(F.lit(0), F.least(F.col("size"), goal - at))
-            taken, copies = taken + part, copies + (part > 0).cast("int")
-    middle = (F.col("start") + F.least("size", "taken") / 2) / F.col("target")
-    time = F.lit(None).cast("double")
-    for k, schedule in enumerate(mix.schedules):
-        time = F.when(F.col("place") == k, schedule.invert(middle)).otherwise(time)
-    return placed.withColumn("taken", taken.cast("long")).withColumn("copies", copies.cast("int")).withColumn(
-        "position", F.when(F.col("taken") > 0, F.round(time, 9))
+        taken, copies = taken + part, copies + (part > 0).cast("int")
+        middle, time = (at + part / 2) / F.col("target"), F.lit(None).cast("double")
+        for k, schedule in enumerate(mix.schedules):
+            time = F.when(F.col("place") == k, schedule.invert(middle)).otherwise(time)
+        times.append(F.when(part > 0, F.round(time, 9)))
+    return placed.withColumns(
+        {"taken": taken.cast("long"), "copies": copies.cast("int"), "position": times[0], "positions": F.array_compact(F.array(*times))}
     )
 
 
@@ -156,16 +158,16 @@ def in_training_order(assigned: DataFrame, key: str = "doc_id") -> DataFrame:
 def mix_documents(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is drawn, whole, sorted by position within ranges.
 
-    Repeated keys draw together: they take the copies of their row with the largest count.
+    Repeated keys draw together: they take the draws of their row with the largest count.
     """
     assigned = assign(docs, mix, key, text, source, whole=True).where("copies > 0")
     chosen = assigned.groupBy(F.col(key).alias("_key"), F.col(key).isNull().alias("_none")).agg(
-        F.max("copies").alias("_copies"), F.min("position").alias("_position")
+        F.max_by("positions", F.struct("copies", -F.col("position"), "positions")).alias("_positions")
     )
     joined = docs.join(chosen, docs[key].eqNullSafe(chosen["_key"]))
-    repeated = joined.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    repeated = joined.select(*[docs[c] for c in docs.columns], F.posexplode("_positions").alias("_turn", "_position"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return repeated.repartitionByRange(n, "_position", key, "_turn").sortWithinPartitions("_position", key).select(*[docs[c] for c in docs.columns])
+    return repeated.repartitionByRange(n, "_position", key, "_turn").sortWithinPartitions("_position", key).drop("_turn", "_position")
 
 
 SQL = r"""
@@ -205,3 +207,24 @@ def curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to a mix of 150 % of all words, with its position in training."""
     mixed = assign(table(spark, sf_dir, "documents"))
     return in_training_order(mixed).select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "position")
+
+
+DRAWS_SQL = SQL[: SQL.index("), shares AS (")] + r"""), drawn AS (
+  SELECT doc_id, source, target, place, start, turn, source_size, greatest(0, least(size, goal - start - turn * source_size))::BIGINT AS words
+  FROM taken, (VALUES (0), (1)) AS passes(turn)
+)
+SELECT doc_id, source, turn::INTEGER AS turn, words, round(
+    CASE place WHEN 0 THEN CASE WHEN x < 1 THEN (sqrt(2.25 - 2 * x) - 1.5) / -1 ELSE 1 END
+               WHEN 1 THEN CASE WHEN x < 1 THEN x ELSE 1 END
+               ELSE CASE WHEN x < 1 THEN (sqrt(0.25 + 2 * x) - 0.5) ELSE 1 END END, 9) AS position
+FROM (SELECT *, (start + turn * source_size + words::DOUBLE / 2) / target AS x FROM drawn WHERE words > 0)
+"""
+
+
+@query("op4_curriculum_draws", DRAWS_SQL)
+def curriculum_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every draw of that mix: its document, pass, words and position in training."""
+    mixed = assign(table(spark, sf_dir, "documents"))
+    drawn = mixed.select("doc_id", "source", "size", "taken", F.posexplode("positions").alias("turn", "position"))
+    words = F.least(F.col("size"), F.col("taken") - F.col("turn") * F.col("size"))
+    return in_training_order(drawn.withColumn("words", words)).select("doc_id", "source", "turn", "words", "position")

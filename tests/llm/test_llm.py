@@ -80,6 +80,27 @@ def test_mixing(spark, odd, none):
     assert max(drawn.values()) <= 2
 
 
+def test_mixing_follows_the_schedules_in_every_pass(spark):
+    many = spark.createDataFrame([(i, "w " * (5 + i % 7), "abc"[i % 20 % 9 % 3] if i % 20 < 9 else "c") for i in range(2000)], "doc_id long, text string, source string")
+    by = defaultdict(list)
+    for r in mixing.assign(many).collect():
+        assert len(r.positions) == r.copies and (r.positions or [None])[0] == r.position
+        by[r.source, r.target, r.source_size] += [(t, min(r.size, r.taken - turn * r.size)) for turn, t in enumerate(r.positions)]
+    twice = 0
+    for (source, target, size), drawn in by.items():
+        schedule = mixing.Mix().schedules["abc".index(source)]
+        (_, f0), (_, f1) = schedule.knots
+        twice += target == 2 * size
+        for t in np.linspace(0, 1, 21):
+            assert abs(sum(words for at, words in drawn if at <= t) - target * (f0 * t + (f1 - f0) * t * t / 2) / schedule.integrals()[-1]) <= 12, (source, t)
+    assert twice
+    order = [(r.source, r.doc_id) for r in mixing.mix_documents(many).collect()]
+    for source in "ab":
+        ids = [i for s, i in order if s == source]
+        first = len(set(ids))
+        assert len(ids) > first == len(set(ids[:first]))
+
+
 def test_schedule_inverse(spark):
     schedule = mixing.Schedule(2.0, ((0.0, 0.5), (0.4, 2.0), (1.0, 1.0)))
     shares = [(float(x),) for x in np.linspace(0, 0.999, 50)]

@@ -227,6 +227,25 @@ def test_search(spark, none):
     assert len(got) == 15
 
 
+def test_search_asks_with_all_words(spark, tmp_path):
+    """Words of two documents alone must not crowd out the others; ranks are those of BM25 over the whole text."""
+    rnd = random.Random(5)
+    common = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(8) for j in range(8)]
+    docs = [(i, " ".join([f"pair{i // 2}x{j}" for j in range(12)] + rnd.choices(common, range(1, 65), k=rnd.randint(5, 80)))) for i in range(500)]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = defaultdict(list)
+    for r in sorted(search.block_max_search(spark, str(tmp_path)).collect(), key=lambda r: (r.query_id, r.rank)):
+        got[r.query_id].append((r.doc_id, round(r.score, 6)))
+    words = {i: Counter(t.split()) for i, t in docs}
+    df, mean = Counter(w for c in words.values() for w in c), sum(sum(c.values()) for c in words.values()) / len(words)
+    idf = {w: math.log(1 + (len(words) - f + 0.5) / (f + 0.5)) for w, f in df.items()}
+    assert sorted(got) == list(range(0, 500, 20))
+    for q, found in got.items():
+        norm = {i: 1.2 * (0.25 + 0.75 * sum(c.values()) / mean) for i, c in words.items()}
+        best = sorted((-sum(idf[t] * c[t] * 2.2 / (c[t] + norm[i]) for t in words[q] if c[t]), i) for i, c in words.items() if i != q)
+        assert found == [(i, round(-s, 6)) for s, i in best[:10]]
+
+
 def _near(a, b):
     if len(a) == len(b):
         return sum(x != y for x, y in zip(a, b, strict=True)) <= 1

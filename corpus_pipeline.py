@@ -35,7 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group linked at a similarity of 0.8 over five words, the document with the smallest id stays. Rows of one id
     are one document."""
     ship(spark)
-    groups = jaccard.join_documents(docs, width=5, percent=80)
+    groups = jaccard.join_documents(docs, width=5, percent=80, counts=False)
     stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
     return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
 

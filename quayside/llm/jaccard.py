@@ -11,6 +11,8 @@
    component, and derives its overlaps from those of a very similar earlier set: they differ by no more than the few
    shingles in which the two sets differ, so most answers follow without looking at the sets.
 4. What links is kept as a spanning forest per task, and components are closed over all tasks.
+5. Links are counted, not written: a task compares all pairs of its lists, derived as above, and counts a pair only if the
+   smallest prefix shingle that both have is one of its own. Counts are weighted by the documents of the other class.
 
 A family with very many members is cut into blocks, and each pair of blocks is a task of its own.
 """
@@ -294,6 +296,41 @@ class Family:
                     out.append((x, y))
         return out
 
+    def degrees(self, lists: list[np.ndarray], all_tokens: list[np.ndarray], own_tokens: list[np.ndarray], copies: np.ndarray, side: np.ndarray | None = None) -> np.ndarray:
+        """Of each set, the documents of the sets it links with, among pairs whose smallest common token of ``all_tokens``
+        is one of ``own_tokens``, so that each pair counts in one family."""
+        by: dict[int, list[np.ndarray]] = {}
+        for members in lists:
+            sizes = self.sizes[members]
+            starts = np.searchsorted(sizes, -(-sizes * self.percent // 100))
+            for k, (x, start) in enumerate(zip(members.tolist(), starts.tolist(), strict=True)):
+                if start < k:
+                    by.setdefault(x, []).append(members[start:k])
+        vocabulary, flat = np.unique(np.concatenate(all_tokens), return_inverse=True)
+        cuts = np.concatenate([[0], np.cumsum([len(t) for t in all_tokens])])
+        here, mark = np.zeros(len(vocabulary) + 1, bool), np.zeros(len(vocabulary), bool)
+        out = np.zeros(len(self.sizes), np.int64)
+        self.known = {}
+        for x in sorted(by, key=lambda i: (self.sizes[i], i)):
+            ys = np.unique(np.concatenate(by[x]))
+            if side is not None:
+                ys = ys[side[ys] != side[x]]
+            if not len(ys):
+                continue
+            ys = ys[self.decide(x, ys)]
+            if not len(ys):
+                continue
+            own, tokens = np.searchsorted(vocabulary, own_tokens[x]), flat[cuts[x] : cuts[x + 1]]
+            here[own] = mark[tokens] = True
+            lengths = cuts[ys + 1] - cuts[ys]
+            starts = np.cumsum(lengths) - lengths
+            theirs = flat[np.arange(int(lengths.sum())) + np.repeat(cuts[ys] - starts, lengths)]
+            ys = ys[here[np.minimum.reduceat(np.where(mark[theirs], theirs, len(vocabulary)), starts)]]
+            here[own] = mark[tokens] = False
+            out[x] += copies[ys].sum()
+            out[ys] += copies[x]
+        return out
+
 
 FAMILY_KEYS = ["la", "lb", "i", "j"]
 
@@ -348,22 +385,32 @@ def passing(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return stage(members.join(kept, ["la", "lb", "a", "b"], "left_semi"), run_dir(spark, "passing"))
 
 
-def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a``, ``b``, ``a2``, ``b2``: pairs of classes that link, a spanning forest per family."""
+def links(members: DataFrame, sets: DataFrame, percent: int, counts: bool) -> DataFrame:
+    """``a``, ``b``, ``a2``, ``b2``: pairs of classes that link, a spanning forest per family; with ``counts`` also rows
+    without ``a2`` and ``b2``: the documents (``n_links``) that a class links with by pairs of the family.
+    ``sets`` has ``shingles``, ``copies`` and ``all_tokens`` by class."""
 
     def run(family: pd.DataFrame) -> pd.DataFrame:
         family, lists, side = unpack(family)
-        found = Family([np.frombuffer(s, np.uint64) for s in family["shingles"]], percent).forest(lists, side)
+        made = Family([np.frombuffer(s, np.uint64) for s in family["shingles"]], percent)
+        found = made.forest(lists, side)
         a, b = family["a"].to_numpy(), family["b"].to_numpy()
         x, y = (np.array([f[k] for f in found], np.int64) for k in (0, 1))
-        return pd.DataFrame({"a": a[x], "b": b[x], "a2": a[y], "b2": b[y]})
+        out = pd.DataFrame({"a": a[x], "b": b[x], "a2": pd.array(a[y], "Int64"), "b2": pd.array(b[y], "Int64"), "n_links": pd.array([None] * len(x), "Int64")})
+        if not counts:
+            return out
+        n = made.degrees(lists, family["all_tokens"].to_list(), family["tokens"].to_list(), family["copies"].to_numpy(), side)
+        at = np.flatnonzero(n)
+        blank = pd.array([None] * len(at), "Int64")
+        return pd.concat([out, pd.DataFrame({"a": a[at], "b": b[at], "a2": blank, "b2": blank, "n_links": pd.array(n[at], "Int64")})], ignore_index=True)
 
-    return families(members, sets).groupBy(*FAMILY_KEYS).applyInPandas(run, "a long, b long, a2 long, b2 long")
+    return families(members, sets).groupBy(*FAMILY_KEYS).applyInPandas(run, "a long, b long, a2 long, b2 long, n_links long")
 
 
-def join_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``n_shingles``, ``component_id``: documents whose sets have a Jaccard similarity of at least ``percent`` per
-    cent link, and a component is named by the smallest key that links reach.
+def join_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", counts: bool = True) -> DataFrame:
+    """``key``, ``n_shingles``, ``component_id``, ``n_links``: documents whose sets have a Jaccard similarity of at least ``percent`` per
+    cent link, and a component is named by the smallest key that links reach. ``n_links`` is the exact number of other documents (rows) that a document links with,
+    those of an equal set included; ``counts=False`` leaves it out, and its work.
 
     Words are runs without white space, A-Z in lower case; fewer than ``width`` words are one shingle; a null or empty text
     has an empty set and links with nothing. Rows that repeat a key have a row each and link by their own texts; a null key
@@ -375,25 +422,35 @@ def join_documents(docs: DataFrame, width: int = 5, percent: int = 80, key: str
     rows = stage(profiles(source, width), run_dir(spark, "profiles"))
     ranks = frequency_tables(rows)
     ids = rows.where("chunk is null").select("id", "n", "a", "b")
-    classes = rows.where("n > 0").groupBy("a", "b").agg(F.min("id").alias("first"), F.first("sketch").alias("sketch"))
+    classes = rows.where("n > 0").groupBy("a", "b").agg(F.min("id").alias("first"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
     classes = stage(classes, run_dir(spark, "classes"))
     texts = source.select("text")
     shared = shared_tokens(prefix_lists(texts, width, percent, ranks), percent)
     members = stage(shared.groupBy("la", "lb", "a", "b", "n").agg(F.collect_list("token").alias("tokens")), run_dir(spark, "members"))
     near = passing(members, classes.select("a", "b", "sketch"), percent)
     sets = stage(member_sets(texts, width, near.select("a", "b").distinct()), run_dir(spark, "sets"))
-    found = stage(links(near, sets, percent), run_dir(spark, "links"))
+    if counts:
+        tokens = near.groupBy("a", "b").agg(F.flatten(F.collect_list("tokens")).alias("all_tokens"))
+        sets = sets.join(classes.select("a", "b", "copies"), ["a", "b"]).join(tokens, ["a", "b"])
+    found = stage(links(near, sets, percent, counts), run_dir(spark, "links"))
+    degrees = found.where("n_links is not null").groupBy("a", "b").agg(F.sum("n_links").alias("n_links"))
+    found, sizes = found.where("a2 is not null").drop("n_links"), classes.select("a", "b", "copies")
     classes = classes.select("a", "b", "first")
     one, two = classes.toDF("a", "b", "x"), classes.toDF("a2", "b2", "y")
     edges = found.join(one, ["a", "b"]).join(two, ["a2", "b2"]).where("x is not null and y is not null").select(F.col("x").alias("a"), F.col("y").alias("b"))
     tied = components(edges)
     named = classes.join(tied, classes["first"] == tied["node"], "left").select("a", "b", F.coalesce("component", "first").alias("name"))
     named = stage(named, run_dir(spark, "named"))
-    full = ids.where("n > 0").join(named, ["a", "b"]).select("id", "n", "name").unionByName(ids.where("n = 0").select("id", "n", F.col("id").alias("name")))
-    return full.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("name").alias("component_id"))
+    if counts:
+        named = named.join(sizes, ["a", "b"]).join(degrees, ["a", "b"], "left")
+        named = stage(named.select("a", "b", "name", (F.col("copies") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links")), run_dir(spark, "counted"))
+    extra = ["n_links"] if counts else []
+    full = ids.where("n > 0").join(named, ["a", "b"]).select("id", "n", "name", *extra)
+    none = ids.where("n = 0").select("id", "n", F.col("id").alias("name"), *[F.lit(0).cast("long").alias(c) for c in extra])
+    return full.unionByName(none).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("name").alias("component_id"), *extra)
 
 
 @query("op5_skip_join")
 def skip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of all documents under links of at least 90 % over 3-word shingles."""
+    """Components and numbers of links of all documents under links of at least 90 % over 3-word shingles."""
     return join_documents(table(spark, sf_dir, "documents"), width=3, percent=90)

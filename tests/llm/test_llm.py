@@ -147,6 +147,27 @@ def test_jaccard(spark, monkeypatch, width, percent, family):
     assert got == _links(docs, width, percent)
 
 
+@pytest.mark.parametrize(("width", "percent", "family"), [(3, 90, 1024), (5, 80, 7)])
+def test_jaccard_counts_all_links(spark, monkeypatch, width, percent, family):
+    """Families of near copies and exact copies, against all pairs."""
+    ship(spark)
+    monkeypatch.setattr(jaccard, "FAMILY", family)
+    rnd = random.Random(6)
+    bases = [[rnd.choice("abcdefghijklmnop") + str(rnd.randrange(30)) for _ in range(n)] for n in (3, 60, 150)]
+    docs = [(1000, None), (1001, "")]
+    for i in range(120):
+        words = list(rnd.choice(bases))
+        for _ in range(rnd.randrange(5)):
+            words[rnd.randrange(len(words))] = f"new{rnd.randrange(9)}"
+        docs.append((i, " ".join(words)))
+    sets = {i: {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} or ({tuple(w)} if w else set()) for i, w in ((i, (t or "").split()) for i, t in docs)}
+    want = {}
+    for i, a in sets.items():
+        want[i] = sum(1 for j, b in sets.items() if i != j and a & b and 100 * len(a & b) >= percent * len(a | b))
+    got = {r.doc_id: r.n_links for r in jaccard.join_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), width, percent).collect()}
+    assert got == want and max(want.values()) > 10
+
+
 def test_jaccard_odd_rows(odd, none):
     got = Counter((r.doc_id, r.component_id) for r in jaccard.join_documents(odd).collect())
     assert got == Counter({(1, 1): 1, (2, 2): 1, (None, None): 1, (3, 3): 1, (4, 4): 2, (5, 5): 1})

@@ -1,7 +1,8 @@
 """License scan by ordered signature rules.
 
 Texts are reduced to words (A-Z in lower case; runs of digits, a-z and non-ASCII characters). A rule is a regular
-expression over those words, the keywords that must occur before it is tried, a label and a priority. Overlapping
+expression over those words, the keywords that must occur before it is tried (all of some, one of others; each a
+necessary condition, read off the expression), a label and a priority. Overlapping
 detections are resolved in the order of priority, then length: a detection that lies inside a kept one is dropped.
 
 The families below are written by hand, each with the patterns that name it; four templates turn a family into rules
@@ -11,6 +12,7 @@ The families below are written by hand, each with the patterns that name it; fou
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -148,6 +150,7 @@ class Rule:
     pattern: str
     keywords: frozenset[bytes]
     priority: int
+    gate: frozenset[bytes] = frozenset()  # one of these must occur
 
 
 def rules() -> list[Rule]:
@@ -157,10 +160,11 @@ def rules() -> list[Rule]:
         verb = r"(?:licensed|released|distributed|available|published|provided|covered)"
         made.append(Rule(label, rf"spdx licen[sc]e identifier {tag}", _words("spdx identifier"), 90))
         made.append(Rule(label, rf"{verb} under (?:the )?(?:terms of )?(?:the )?(?:{title}|{short})", _words("under"), 80))
-        made.append(Rule(label, rf"licen[sc]e (?:is )?(?:{title}|{short}|{tag} licen[sc]e)", _words(title_key), 75))
-        made.append(Rule(label, title, _words(title_key), 70))
-        made.append(Rule(label, short, _words(short_key), 50))
-    made += [Rule(label, pattern, _words(key), 60) for label, pattern, key in SENTENCES]
+        any_name = rf"{title}|{short}|{tag} licen[sc]e"
+        made.append(Rule(label, rf"licen[sc]e (?:is )?(?:{any_name})", frozenset(), 75, gate(any_name, title_key, short_key)))
+        made.append(Rule(label, title, frozenset(), 70, gate(title, title_key)))
+        made.append(Rule(label, short, frozenset(), 50, gate(short, short_key)))
+    made += [Rule(label, pattern, frozenset(), 60, gate(pattern, key)) for label, pattern, key in SENTENCES]
     return sorted(made, key=lambda r: -r.priority)
 
 
@@ -168,13 +172,54 @@ def _words(text: str) -> frozenset[bytes]:
     return frozenset(text.encode().split())
 
 
+#: Words that many texts hold; a gate has them only where a form of its pattern holds no other.
+_COMMON = frozenset("license licence the version v public general software open source free of and to in or under as terms you".split())
+
+
+def forms(pattern: str) -> list[str]:
+    """All texts that a pattern matches; what is not one of few characters stands as a NUL."""
+
+    def expand(items) -> list[str]:
+        out = [""]
+        for op, arg in items:
+            name = str(op)
+            if name == "LITERAL":
+                now = [chr(arg)]
+            elif name == "IN":
+                spans = [range(a, a + 1) if str(k) == "LITERAL" else range(a[0], a[1] + 1) if str(k) == "RANGE" else None for k, a in arg]
+                now = ["\0"] if None in spans else [chr(c) for r in spans for c in r]
+            elif name == "BRANCH":
+                now = [x for branch in arg[1] for x in expand(branch)]
+            elif name == "SUBPATTERN":
+                now = expand(arg[-1])
+            elif name == "MAX_REPEAT" and arg[:2] == (0, 1):
+                now = ["", *expand(arg[2])]
+            else:
+                now = ["\0"]
+            out = [a + b for a in out for b in now]
+        return out
+
+    return sorted(set(expand(re._parser.parse(pattern))))
+
+
+def gate(pattern: str, *wanted: str) -> frozenset[bytes]:
+    """Few words of which every text that the pattern matches holds one: ``wanted`` ones first, common ones last."""
+    open_ = [{w for w in text.split() if "\0" not in w} for text in forms(pattern)]
+    chosen = set()
+    while open_:
+        if not all(open_):
+            return frozenset()
+        counts = Counter(w for words in open_ for w in words)
+        best = max(counts, key=lambda w: (w in wanted, not (w in _COMMON or w.isdigit()), counts[w], w))
+        chosen.add(best.encode())
+        open_ = [words for words in open_ if best not in words]
+    return frozenset(chosen)
+
+
 #: A-Z to a-z, all other ASCII that is no digit or letter to a space.
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
-#: Generic words that every rule with no better keyword is gated by.
-_GENERIC = frozenset(b"license licence gpl gplv1 gplv2 gplv3 lgpl lgplv2 lgplv3 agpl agplv1 agplv3 epl eplv1 eplv2 mulanpsl mulanpslv2 beerware".split())
-
 
 class _Reach:
     """Largest end among kept intervals that start at or before a word (a Fenwick tree of maxima)."""
@@ -202,16 +247,17 @@ class Scanner:
 
     def __init__(self, ordered: list[Rule]) -> None:
         self.rules = [(r, re.compile(rb"(?<![^ ])(?:" + r.pattern.encode() + rb")(?![^ ])")) for r in ordered]
-        self.keywords = frozenset().union(*(r.keywords for r in ordered)) | _GENERIC
+        self.keywords = frozenset().union(*(r.keywords | r.gate for r in ordered))
+        self.gated = all(r.keywords or r.gate for r in ordered)
 
     def scan(self, text: bytes) -> tuple[int, list[tuple[str, int, int, int]]]:
         words = text.translate(_FOLD).split()
         present = self.keywords.intersection(words)
-        if not present:
+        if not present and self.gated:
             return len(words), []
         joined, found = b" ".join(words), []
         for rule, pattern in self.rules:
-            if not (rule.keywords <= present if rule.keywords else present & _GENERIC):
+            if not rule.keywords <= present or (rule.gate and rule.gate.isdisjoint(present)):
                 continue
             at = word = 0
             for m in pattern.finditer(joined):

@@ -1,5 +1,6 @@
 """The operators for training data against brute force, exact round trips and held-out labels, with odd rows."""
 
+import dataclasses
 import hashlib
 import math
 import random
@@ -48,6 +49,21 @@ def test_license_containment():
     assert len(licenses.rules()) >= 200
 
 
+def test_license_gates_lose_nothing():
+    """Texts of every form of every name, with and without the gates; mplv2 0 and gpl2 are single words with a number."""
+    gated = licenses.Scanner(licenses.rules())
+    free = licenses.Scanner([dataclasses.replace(r, keywords=frozenset(), gate=frozenset()) for r in licenses.rules()])
+    texts = {f for tag, title, short, *_ in licenses.FAMILIES.values() for p in (tag, title, short) for f in licenses.forms(p)}
+    texts |= {f for _, pattern, _ in licenses.SENTENCES for f in licenses.forms(pattern)}
+    for text in sorted(texts):
+        for lead in ("", "License: ", "released under "):
+            for tail in ("", " license"):
+                raw = f"{lead}{text}{tail}".replace("\0", "xy").encode()
+                assert gated.scan(raw) == free.scan(raw), raw
+    assert [h[0] for h in gated.scan(b"MPLv2.0")[1]] == ["mpl-2.0"] and gated.scan(b"License: PSF-2.0 License")[1]
+    assert all(r.keywords or r.gate for r in licenses.rules())
+
+
 def test_bpe_equals_library():
     mine, theirs = bpe.Bpe(public_tokenizers.path("byte_bpe_50k.json"), most=400), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rnd = random.Random(1)

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quayside.llm.common import query, table
+from quayside.session import run_dir, stage
 
 #: Turns in a part, and messages in a part before it is cut into pieces.
 TURNS, MESSAGES = 64, 1024
@@ -23,8 +25,8 @@ def perspectives(messages: DataFrame, key: str = "conv_id", turn: str = "turn",
     ``mask_spans`` lists ``from-to`` of the characters to learn. Messages that agree in all four columns are one; those of
     one turn are ordered by speaker and text; a null turn comes first, in part -1; a null speaker has an empty name; a null
     text is empty; null keys form one dialogue. ``<|`` inside a text or a name is written ``< |``, so no message can open a
-    turn. Where repeated turn numbers put more than 1024 messages into a part, it is cut into pieces by hash. Other columns
-    are not read; an empty table gives no rows.
+    turn. Where repeated turn numbers put more than 1024 messages into a part, it is cut into pieces, runs of 1024 in that
+    order (the SQL below writes such a part as one). Other columns are not read; an empty table gives no rows.
     """
     safe = lambda c: F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("<|"), F.lit("< |"))
     said = messages.select(
@@ -32,10 +34,9 @@ def perspectives(messages: DataFrame, key: str = "conv_id", turn: str = "turn",
         F.col(key).alias("conv"), F.col(key).isNull().alias("none"), F.col(turn).alias("turn"), safe(speaker).alias("who"), safe(text).alias("text"),
     ).distinct().withColumn("conv_key", F.coalesce(F.col("conv").cast("string"), F.lit("")))
     spot = ["none", "conv_key", "part"]
-    full = said.groupBy(*spot).count().where(F.col("count") > MESSAGES).select(*spot, F.ceil(F.col("count") / MESSAGES).alias("pieces"))
-    cut = said.join(full, spot, "left").withColumn(
-        "piece", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64("turn", "who", "text"), "pieces")).cast("int")
-    )
+    full = said.groupBy(*spot).count().where(F.col("count") > MESSAGES).select(*spot)
+    cool = said.join(full, spot, "left_anti").withColumn("piece", F.lit(0))
+    cut = cool.unionByName(in_runs(said.join(full, spot, "left_semi"), spot))
     parts = cut.groupBy(*spot, "piece").agg(F.first("conv").alias("conv"), F.array_sort(F.collect_list(F.struct("turn", "who", "text"))).alias("turns"))
     people = said.select("none", "conv_key", F.col("who").alias("assistant")).distinct()
     rows = parts.join(people, ["none", "conv_key"]).withColumn("shown", F.transform("turns", render))
@@ -52,6 +53,18 @@ def perspectives(messages: DataFrame, key: str = "conv_id", turn: str = "turn",
     )
 
 
+def in_runs(full: DataFrame, spot: list[str]) -> DataFrame:
+    """Messages of full parts with their ``piece``: ranks in order are sums over ranges, so no part passes one task."""
+    spark, line = full.sparkSession, ["turn", "who", "text"]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage(full.repartitionByRange(n, *spot, *line).withColumn("range", F.spark_partition_id()), run_dir(spark, "full-parts"))
+    before = Window.partitionBy(*spot).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*spot, "range").count().select(*spot, "range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("ahead"))
+    within = F.row_number().over(Window.partitionBy(*spot, "range").orderBy(*line)) - 1
+    ranked = ranged.withColumn("within", within).join(sums, [*spot, "range"])
+    return ranked.withColumn("piece", F.floor((F.col("ahead") + F.col("within")) / MESSAGES).cast("int")).select(*full.columns, "piece")
+
+
 def render(message: Column) -> Column:
     """Header and body of a message as the column ``assistant`` sees it."""
     own = message["who"] == F.col("assistant")

@@ -333,6 +333,19 @@ def test_chat(spark):
     assert chat.perspectives(df.limit(0)).collect() == []
 
 
+def test_chat_cuts_hot_parts_in_order(spark):
+    said = [(7, i % 40 if i % 3 else None, "ann" if i % 2 else "bob", f"m{i:05}") for i in range(5000)] + [(8, 1, "ann", "hi")]
+    df = spark.createDataFrame(said, "conv_id long, turn long, role string, text string").repartition(6)
+    got = {(r.conv_id, r.assistant, r.part, r.piece): r for r in chat.perspectives(df).collect()}
+    for part, null in ((-1, True), (0, False)):
+        want = [m for _, _, _, m in sorted((m for m in said if m[0] == 7 and (m[1] is None) == null), key=lambda m: (m[1] or 0, m[2], m[3]))]
+        for who in ("ann", "bob"):
+            rows = [got[7, who, part, k] for k in range(-(-len(want) // 1024))]
+            assert [len(re.findall(r"m\d{5}", r.dialogue)) for r in rows] == [len(want[k : k + 1024]) for k in range(0, len(want), 1024)]
+            assert re.findall(r"m\d{5}", "".join(r.dialogue for r in rows)) == want
+    assert got[8, "ann", 0, 0].n_turns == 1
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

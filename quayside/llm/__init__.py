@@ -14,6 +14,9 @@ def load_all() -> None:
         licenses,
         lines,
         mixing,
+        negatives,
+        pages,
+        runs,
         search,
         store,
         toxicity,

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.conditional import typed_null, yes_no
 from quayside.functions.dates import to_ts
@@ -40,6 +41,7 @@ from quayside.plans.model import VARIANT_RELATIONSHIP
 from quayside.session import stage
 from quayside.sources.changes import CHANGE_TYPE, COMMIT_VERSION
 from quayside.sources.readers import stored_bytes
+from quayside.sources.silver import SilverTables
 
 # The open-ended validity period.
 PERIOD_START = "2000-11-16T13:06:46.713+00:00"
@@ -75,6 +77,11 @@ class Rules:
     match_address: bool = False
     line_key_with_order: bool = True
     sweep_without_specs: bool = True
+    replace_order_lines: bool = False
+
+    def __post_init__(self):
+        if self.replace_order_lines and not self.line_key_with_order:
+            raise ValueError("lines are replaced by order, so their key must hold the order")
 
     @classmethod
     def compat(cls) -> Rules:
@@ -91,12 +98,42 @@ class Rules:
         )
 
 
+#: What an entity remembers of each key: time, commit and tie-break of the newest event it has seen, deletes included.
+GUARD = "key string, event_time timestamp, commit_version bigint, tie bigint"
+_POSITION = ("event_time", "commit_version", "tie")
+
+
+def guard_table(entity: str) -> str:
+    return f"{entity}Guard"
+
+
 @dataclass(frozen=True)
 class Run:
-    """One execution: its rules and where it may stage frames that are read more than once."""
+    """One execution: its rules, where it may stage frames that are read more than once, and the stored tables it changes.
+
+    With ``tables`` a job reads only the buckets its keys fall into; ``touched`` collects them. Each entity's guard table
+    holds the newest event seen per key: an event before it changes nothing, so neither the order in which commits arrive
+    nor the way they are cut into batches decides which event wins. A key that was deleted stays guarded.
+    """
 
     rules: Rules = field(default_factory=Rules)
     staging: str | None = None
+    tables: SilverTables | None = None
+    entity: str = ""
+    touched: dict[str, frozenset[int]] = field(default_factory=dict)
+    guards: dict[str, DataFrame] = field(default_factory=dict)
+    _known: dict = field(default_factory=dict)
+
+    def part(self, targets: Mapping[str, DataFrame], name: str, *keys: DataFrame) -> DataFrame:
+        """The rows of a target that may match ``keys`` (frames of one key column each); the whole target if it is no
+        stored table."""
+        if self.tables is None:
+            return targets[name]
+        memo = (self.tables.counts[name], *map(id, keys))
+        if memo not in self._known:  # the frames are kept too, so that an id stands for one frame
+            self._known[memo] = (self.tables.buckets_of(name, *keys), keys)
+        self.touched[name] = self._known[memo][0]
+        return self.tables.part(name, self.touched[name])
 
     def keep(self, df: DataFrame, name: str) -> tuple[DataFrame, int | None]:
         """The frame and, once staged, its number of rows (read from the file footers).
@@ -110,12 +147,46 @@ class Run:
         small = stored_bytes(df.sparkSession, path) <= BROADCAST_BYTES
         return staged, staged.count() if small else None
 
-    def snapshot(self, events: DataFrame, keys: str | list[str], name: str) -> tuple[DataFrame, int | None]:
+    def snapshot(self, events: DataFrame, keys: str | list[str], name: str, tie: str | None = None) -> tuple[DataFrame, int | None]:
+        """The latest event of each key, without those older than the newest event the key has seen before.
+
+        Events at the same time and commit are told apart by the column ``tie`` (a number, highest first) or else by a
+        hash of the row.
+        """
         rows = live_changes(events, self.rules.strict_feed)
         if self.rules.fallback_event_time and ENQUEUED_TIME in rows.columns:
             rows = rows.withColumn(EVENT_TIME, F.coalesce(EVENT_TIME, ENQUEUED_TIME))
-        snap = latest_snapshot(rows, keys, ties=self.rules.ties)
-        return self.keep(snap.drop(EVENT_TIME, ENQUEUED_TIME, COMMIT_VERSION, CHANGE_TYPE), name)
+        drop = (EVENT_TIME, ENQUEUED_TIME, COMMIT_VERSION, CHANGE_TYPE)
+        if self.tables is None:
+            return self.keep(latest_snapshot(rows, keys, ties=self.rules.ties, tiebreak=[tie] if tie else []).drop(*drop), name)
+        one = self.rules.ties == "one"
+        rows = rows.withColumn("_tie", (F.col(tie) if tie else F.xxhash64(*rows.columns)).cast("bigint") if one else F.lit(0).cast("bigint"))
+        snap = latest_snapshot(rows, keys, ties=self.rules.ties, tiebreak=["_tie"])
+        key = F.to_json(F.struct(*([keys] if isinstance(keys, str) else keys)))
+        snap = snap.withColumns({"_key": key, "_at": F.col(EVENT_TIME).cast("timestamp"), "_commit": F.col(COMMIT_VERSION)})
+        snap, count = self.keep(snap.drop(*drop), f"{name}-seen" if self.staging else name)
+        snap, stale = self._newer(snap, name)
+        snap = snap.drop("_key", "_at", "_commit", "_tie")
+        return snap, None if count is None else count - stale
+
+    def _newer(self, snap: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """Rows of ``snap`` that are not older than their key's guard, and the number of the others; notes the new guard."""
+        guard = guard_table(self.entity)
+        known = self.part({}, guard, snap.select("_key"))
+        seen = snap.select(F.col("_key").alias("key"), F.col("_at").alias("event_time"), F.col("_commit").alias("commit_version"), F.col("_tie").alias("tie"))
+        newest = known.unionByName(seen).groupBy("key").agg(F.max(F.struct(*_POSITION)).alias("top")).select("key", "top.*")
+        self.guards[guard] = newest
+        before = known.select(F.col("key").alias("_key"), F.struct(*_POSITION).alias("_before"))
+        own = F.struct(F.col("_at").alias("event_time"), F.col("_commit").alias("commit_version"), F.col("_tie").alias("tie"))
+        stale = snap.select("_key", own.alias("_own")).join(before, "_key").where(F.col("_before") > F.col("_own")).select("_key")
+        stale, count = self.keep(stale, f"{name}-stale")
+        count = stale.count() if count is None else count
+        return (snap.join(stale.distinct(), "_key", "left_anti"), count) if count else (snap, 0)
+
+    def by(self, name: str, key: Mapping[str, str]) -> Column:
+        """The source column that deals a target's rows to buckets."""
+        stored = next(iter(key)) if self.tables is None else self.tables.keys[name]
+        return F.col(key[stored])
 
     @property
     def ambiguity(self) -> str:
@@ -133,7 +204,7 @@ def _apply(
     rows: int | None, rule: str | None = None,
 ) -> DataFrame:
     return apply_changes(
-        targets[name],
+        run.part(targets, name, snap.select(run.by(name, key))),
         snap.select(*key.values(), *values.values(), VERB),
         key,
         update=values,
@@ -162,7 +233,7 @@ def run_address_assignments(changes: DataFrame, targets: Targets, run: Run = Run
         return {"CustomerLocation": _apply(targets, "CustomerLocation", snap, key, values, run, rows)}
     upserts, deletes = split_by_verb(snap)
     merged = merge_into(
-        targets["CustomerLocation"], upserts, key, update=values, insert={**key, **values},
+        run.part(targets, "CustomerLocation", snap.select("CustomerId")), upserts, key, update=values, insert={**key, **values},
         on_ambiguous=run.ambiguity, source_rows=rows,
     )
     both = {**key, "LocationId": "LocationId"}
@@ -255,7 +326,7 @@ def run_user_group_assignments(changes: DataFrame, targets: Targets, run: Run =
     snap, rows = run.snapshot(events, per, "user_group_assignments")
     upserts, deletes = split_by_verb(snap)
     merged = merge_into(
-        targets["CustomerGroupCustomer"],
+        run.part(targets, "CustomerGroupCustomer", snap.select("CustomerId")),
         upserts,
         key,
         update={"CustomerGroupId": "CustomerGroupId"},
@@ -325,13 +396,23 @@ def run_orders(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict[s
         },
     )
     lines = with_period(lines, "start", "end")
+    ids, line_ids = snap.select("OrderId"), lines.select("OrderId" if rules.line_key_with_order else "OrderLineId")
+
+    def known(table: str) -> DataFrame:
+        """What is stored for the batch's orders and lines, without the lines that its orders replace."""
+        if "Line" not in table:
+            return run.part(targets, table, ids)
+        if not rules.replace_order_lines:
+            return run.part(targets, table, line_ids)
+        return merge_into(run.part(targets, table, ids), ids, "OrderId", delete=True, source_rows=rows)
+
     # lines are a map over the staged orders: counted for the choice of join, not staged again
     line_count = None if rows is None else snap.agg(F.sum(F.size("LineItems"))).first()[0] or 0
 
     def upsert(table: str, source: DataFrame, key: list[str], values: Mapping[str, str], rule: str, count):
         on = {k: k for k in key}
         return merge_into(
-            targets[table], source, on, update={t: s for t, s in values.items() if t not in on},
+            known(table), source, on, update={t: s for t, s in values.items() if t not in on},
             insert={**on, **values}, on_ambiguous=rule, source_rows=count,
         )
 
@@ -351,7 +432,7 @@ def run_orders(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict[s
         "Order": upsert("Order", orders, ["OrderId"], order_values, run.ambiguity, rows),
         # the update half would set the key to itself, so only new orders matter
         "Shipment": merge_into(
-            targets["Shipment"], orders, {"ShipmentOrderId": "OrderId"}, insert={"ShipmentOrderId": "OrderId"},
+            known("Shipment"), orders, {"ShipmentOrderId": "OrderId"}, insert={"ShipmentOrderId": "OrderId"},
             on_ambiguous=run.ambiguity, source_rows=rows,
         ),
         "OrderStatus": upsert("OrderStatus", orders, ["OrderId"], status("OrderStatus"), run.ambiguity, rows),
@@ -451,10 +532,14 @@ def run_products(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict
         "expired_variants",
     )
 
+    related_ids, variant_ids, gone = related.select("RelatedProductId"), variants.select("ProductId"), expired.select("RelatedProductId")
+
     def put(table: str, source: DataFrame, on: Mapping[str, str], values: Mapping[str, str], rule: str, count=None):
-        return merge_into(
-            targets[table], source, on, update=values, insert={**on, **values}, on_ambiguous=rule, source_rows=count
-        )
+        if table == "ProductCharacteristicType":
+            stored = run.part(targets, table, source.select("TypeId"))
+        else:
+            stored = run.part(targets, table, related_ids if table == "RelatedProduct" else variant_ids, gone)
+        return merge_into(stored, source, on, update=values, insert={**on, **values}, on_ambiguous=rule, source_rows=count)
 
     def swept(df: DataFrame, column: str) -> DataFrame:
         return merge_into(df, expired, {column: "RelatedProductId"}, delete=True, source_rows=expired_rows)
@@ -495,6 +580,18 @@ def run_products(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict
 
 Job = Callable[[DataFrame, Targets, Run], dict[str, DataFrame]]
 
+
+@dataclass(frozen=True)
+class Entity:
+    """An entity of one's own: its bronze columns, its job, the silver tables it alone writes, and the key of each that
+    deals its rows to buckets (part of every key its job matches on)."""
+
+    bronze: T.StructType
+    job: Job
+    tables: Mapping[str, T.StructType]
+    keys: Mapping[str, str]
+
+
 # entity -> (job, tables it reads or writes), in the order of a full run
 ENTITIES: dict[str, tuple[Job, list[str]]] = {
     "AddressAssignments": (run_address_assignments, ["CustomerLocation"]),

@@ -105,6 +105,34 @@ def bronze(entity: str) -> T.StructType:
     return T.StructType.fromDDL(_BRONZE_DDL[entity])
 
 
+# The key column that deals a silver table's rows to buckets: part of every key its rows are matched on.
+SILVER_KEYS = {
+    "Catalog": "CatalogId",
+    "Country": "CountryId",
+    "CustomerEmail": "CustomerId",
+    "CustomerGroup": "CustomerGroupId",
+    "CustomerGroupCustomer": "CustomerId",
+    "CustomerLocation": "CustomerId",
+    "CustomerTelephoneNumber": "CustomerId",
+    "IndividualCustomer": "CustomerId",
+    "Item": "ProductId",
+    "Location": "LocationId",
+    "Order": "OrderId",
+    "OrderLine": "OrderId",
+    "OrderLineStatus": "OrderId",
+    "OrderStatus": "OrderId",
+    "OrderStatusType": "OrderStatusTypeId",
+    "OrderType": "OrderTypeId",
+    "ProductCategory": "ProductCategoryId",
+    "ProductCharacteristic": "ProductId",
+    "ProductCharacteristicType": "ProductCharacteristicTypeId",
+    "ProductRelationshipType": "ProductRelationshipTypeId",
+    "RelatedProduct": "RelatedProductId",
+    "RetailProduct": "ProductId",
+    "Shipment": "ShipmentOrderId",
+}
+
+
 def silver(amount: str = "decimal(18,2)", location_id: str = "string") -> dict[str, T.StructType]:
     """The silver tables. Amounts keep cents and shipments refer to locations by their text id."""
     ddl = {

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.session import empty_frame
-from quayside.sources.readers import path_exists, subfolders
+from quayside.sources.readers import matching, path_exists
 
 COMMIT_VERSION = "_commit_version"
 CHANGE_TYPE = "_change_type"
@@ -32,10 +33,27 @@ def log_schema(schema: T.StructType) -> T.StructType:
     )
 
 
-def append_changes(df: DataFrame, path: str, version: int) -> None:
+def append_changes(df: DataFrame, path: str, version: int, mode: str = "overwrite") -> None:
     """Write one commit. Rows without a change type are inserts."""
     rows = df if CHANGE_TYPE in df.columns else df.withColumn(CHANGE_TYPE, F.lit(INSERT))
-    rows.drop(COMMIT_VERSION).write.mode("overwrite").parquet(f"{path}/{COMMIT_VERSION}={version}")
+    rows.drop(COMMIT_VERSION).write.mode(mode).parquet(f"{path}/{COMMIT_VERSION}={version}")
+
+
+def append_commit(df: DataFrame, path: str) -> int:
+    """Write one commit under the next free version and return it.
+
+    A version folder that is already there, left by another landing at the same time or by a failed one, is never
+    written into: the next number is tried.
+    """
+    version = newest_commit(df.sparkSession, path) + 1
+    while True:
+        try:
+            append_changes(df, path, version, mode="errorifexists")
+            return version
+        except AnalysisException as taken:
+            if taken.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            version += 1
 
 
 def open_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -65,16 +83,18 @@ def newest_commit(spark: SparkSession, path: str) -> int:
 
     A folder counts once its write has left the ``_SUCCESS`` mark, so a commit under way is not taken for a whole one.
     """
-    prefix = f"{COMMIT_VERSION}="
-    names = subfolders(spark, path) if path_exists(spark, path) else []
-    versions = sorted((int(n.removeprefix(prefix)) for n in names if n.startswith(prefix)), reverse=True)
-    return next((v for v in versions if path_exists(spark, f"{path}/{prefix}{v}/_SUCCESS")), 0)
+    return max(finished_commits(spark, path), default=0)
+
+
+def finished_commits(spark: SparkSession, path: str) -> list[int]:
+    """Versions whose write has ended, by one listing."""
+    marks = matching(spark, f"{path}/{COMMIT_VERSION}=*/_SUCCESS")
+    return sorted(int(m.split("/")[-2].removeprefix(f"{COMMIT_VERSION}=")) for m in marks)
 
 
 def open_window(spark: SparkSession, path: str, schema: T.StructType, first: int, last: int) -> DataFrame:
-    """Changes of the versions from ``first`` to ``last``; only their folders are listed and opened."""
-    folders = [f"{path}/{COMMIT_VERSION}={v}" for v in range(first, last + 1)]
-    folders = [f for f in folders if path_exists(spark, f)]
+    """Changes of the finished versions from ``first`` to ``last``; only their folders are opened."""
+    folders = [f"{path}/{COMMIT_VERSION}={v}" for v in finished_commits(spark, path) if first <= v <= last]
     if not folders:
         return empty_frame(spark, log_schema(schema))
     return spark.read.schema(log_schema(schema)).option("basePath", path).parquet(*folders)

@@ -83,6 +83,18 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return fs.exists(path)
 
 
+def remove_folder(spark: SparkSession, uri: str) -> None:
+    """Delete a working folder of our own, if it is there."""
+    path, fs = _filesystem(spark, uri)
+    fs.delete(path, True)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, found by one listing."""
+    path, fs = _filesystem(spark, pattern)
+    return [e.getPath().toString() for e in fs.globStatus(path) or []]
+
+
 def stored_bytes(spark: SparkSession, uri: str) -> int:
     """Size of a folder in storage."""
     path, fs = _filesystem(spark, uri)

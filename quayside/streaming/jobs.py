@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.plans.medallion import Medallion, bronze_rows
-from quayside.plans.schemas import bronze
 from quayside.sources.changes import append_changes, log_schema, newest_commit, path_exists
 
 
@@ -64,7 +63,7 @@ def land_stream(
 
 def land_entity(lake: Medallion, entity: str, folder: str, checkpoint: str, **options) -> StreamingQuery:
     """JSON events of one entity into its bronze log."""
-    source = with_ingest_metadata(bronze_rows(json_stream(lake.spark, folder, bronze(entity)), entity))
+    source = with_ingest_metadata(bronze_rows(json_stream(lake.spark, folder, lake.bronze_schema(entity)), entity))
     return land_stream(source, lake.log_path(entity), checkpoint, **options)
 
 
@@ -74,12 +73,14 @@ def map_stream(
     """Keep the silver tables of an entity up to date from its bronze log.
 
     The stream's checkpoint takes the place of the state log. The merges are
-    idempotent, so a micro-batch that is run again changes nothing.
+    idempotent, so a micro-batch that is run again changes nothing, and an event
+    older than the newest one of its key changes nothing either, whichever
+    batch brings it: ``max_files`` does not decide which event wins.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         lake.process(entity, batch, batch_id + 1)
 
-    source = log_stream(lake.spark, lake.log_path(entity), bronze(entity), max_files)
+    source = log_stream(lake.spark, lake.log_path(entity), lake.bronze_schema(entity), max_files)
     writer = source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -11,7 +11,7 @@ from quayside.plans.model import order_status_types
 from quayside.session import run_dir
 from quayside.sources import readers, tables
 from quayside.sources.changes import append_changes, open_log, read_changes
-from quayside.sources.store import SilverStore
+from quayside.sources.silver import SilverTables
 from quayside.workload import query
 from quayside.workload.inputs import load
 
@@ -153,15 +153,18 @@ def materialized(spark, sf):
     "SELECT 'SC-' || c_custkey::VARCHAR AS \"CustomerId\", c_name AS \"IndividualCustomerName\" FROM customer",
 )
 def stored(spark, sf):
-    """Two commits to a store; readers see the second."""
+    """A table in key buckets: all customers under an old name, then the buckets of one half written again, then of the other."""
     schema = load(spark, sf, "customer").select(
         F.concat(F.lit("SC-"), F.col("c_custkey").cast("string")).alias("CustomerId"),
         F.col("c_name").alias("IndividualCustomerName"),
     )
-    store = SilverStore(spark, run_dir(spark, "store"), {"IndividualCustomer": schema.schema}).create()
-    store.commit({"IndividualCustomer": schema.where(F.lit(False))})
-    store.commit({"IndividualCustomer": schema})
-    return store.table("IndividualCustomer")
+    name = "IndividualCustomer"
+    store = SilverTables(spark, run_dir(spark, "silver"), {name: schema.schema}, {name: "CustomerId"}, 8).create()
+    store.commit({name: schema.withColumn("IndividualCustomerName", F.lit("old"))})
+    for half in (range(4), range(4, 8)):
+        rows = schema.where(store.bucket(name, "CustomerId").isin(list(half)))
+        store.commit({name: rows}, touched={name: store.buckets_of(name, rows.select("CustomerId"))})
+    return store.table(name)
 
 
 @query(

@@ -89,6 +89,12 @@ def remove_folder(spark: SparkSession, uri: str) -> None:
     fs.delete(path, True)
 
 
+def mark_file(spark: SparkSession, uri: str) -> None:
+    """An empty file that says by its presence that something is done."""
+    path, fs = _filesystem(spark, uri)
+    fs.create(path, True).close()
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern, found by one listing."""
     path, fs = _filesystem(spark, pattern)

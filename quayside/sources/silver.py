@@ -11,17 +11,18 @@ writer per label at a time is assumed: an entity is the only writer of its table
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.session import empty_frame
-from quayside.sources.readers import path_exists, remove_folder, subfolders
+from quayside.sources.readers import mark_file, path_exists, remove_folder, subfolders
 from quayside.sources.tables import conform
 
-BUCKET, LIVE = "_bucket", "_live"
+BUCKET, LIVE, READY = "_bucket", "_live", "_ready"
 LAYOUT_SCHEMA = "table_name string, key string, buckets int"
 #: Buckets of a table unless told otherwise. At scale choose so many that one holds some hundred megabytes.
 BUCKETS = 16
@@ -116,33 +117,42 @@ class SilverTables:
         """
         self.heal(label)
         work = f"{self.staged}/{label}/{uuid.uuid4().hex}"
-        for name, df in new.items():
-            buckets = sorted(touched[name] if touched and name in touched else range(self.counts[name]))
-            if not buckets:
-                continue
-            rows = conform(df, self.schemas[name]).withColumn(LIVE, F.lit(True))
+        wanted = {name: sorted(touched[name] if touched and name in touched else range(self.counts[name])) for name in new}
+        names = [name for name in new if wanted[name]]
+
+        def write(name: str) -> None:
+            rows = conform(new[name], self.schemas[name]).withColumn(LIVE, F.lit(True))
             rows = rows.withColumn(BUCKET, self.bucket(name, self.keys[name]))
-            marks = self.spark.range(1).select(F.lit(False).alias(LIVE), F.explode(F.array([F.lit(b) for b in buckets])).alias(BUCKET))
+            marks = self.spark.range(1).select(F.lit(False).alias(LIVE), F.explode(F.lit(wanted[name])).alias(BUCKET))
             rows = rows.unionByName(marks, allowMissingColumns=True)
             rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{work}/{name}")
-        names = [(name,) for name in new if path_exists(self.spark, f"{work}/{name}")]
+
         if names:
-            self.spark.createDataFrame(names, "table_name string").coalesce(1).write.parquet(f"{work}/ready")
+            self._each(write, names)
+            mark_file(self.spark, f"{work}/{READY}")
             self._put(work)
 
     def _put(self, work: str) -> None:
-        for (name,) in self.spark.read.schema("table_name string").parquet(f"{work}/ready").collect():
+        def overwrite(name: str) -> None:
             rows = self.spark.read.schema(self._stored(name)).parquet(f"{work}/{name}")
             writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET)
             writer.parquet(self.path(name))
+
+        self._each(overwrite, subfolders(self.spark, work))
         remove_folder(self.spark, work)
 
+    @staticmethod
+    def _each(write: Callable[[str], None], names: Sequence[str]) -> None:
+        """One Spark job per table, at the same time: small ones fill the gaps that large ones leave."""
+        with ThreadPoolExecutor(max_workers=min(8, len(names))) as pool:
+            list(pool.map(write, names))
+
     def heal(self, label: str) -> int:
         """Finish what a failed write of this label had staged whole, drop what it had not; returns how many were finished."""
         root, done = f"{self.staged}/{label}", 0
         for folder in subfolders(self.spark, root) if path_exists(self.spark, root) else []:
             work = f"{root}/{folder}"
-            if path_exists(self.spark, f"{work}/ready/_SUCCESS"):
+            if path_exists(self.spark, f"{work}/{READY}"):
                 self._put(work)
                 done += 1
             else:

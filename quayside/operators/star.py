@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -144,3 +144,62 @@ def path_between(relationships: Sequence[Relationship], start: str, goal: str) -
                     seen.add(step.end_table)
                     queue.append((step.end_table, [*steps, step]))
     raise ValueError(f"no relationship path from {start} to {goal}")
+
+
+def filter_tree(relationships: Sequence[Relationship], start: str) -> dict[str, tuple[str, Step]]:
+    """For each table from which a filter can reach ``start``: the next table on the shortest way, and the step from that
+    table to it. Edges are taken in the order they are given."""
+    found: dict[str, tuple[str, Step]] = {}
+    queue = deque([start])
+    while queue:
+        table = queue.popleft()
+        for rel in relationships:
+            if not rel.active:
+                continue
+            steps = [Step(rel, True)] if rel.from_table == table else []
+            steps += [Step(rel, False)] if rel.to_table == table and rel.both else []
+            for step in steps:
+                if step.end_table != start and step.end_table not in found:
+                    found[step.end_table] = (table, step)
+                    queue.append(step.end_table)
+    return found
+
+
+def propagate_to(
+    tables: Mapping[str, DataFrame], relationships: Sequence[Relationship], filters: Mapping[str, Column], goal: str
+) -> DataFrame:
+    """The rows of ``goal`` that are left when all filters act together.
+
+    Filters travel to ``goal`` along the tree of shortest ways that lead there, from the leaves inwards: a table keeps the
+    rows that pass its own filter and have a partner in each filtered branch behind it. Since the ways form a tree, one
+    such pass leaves nothing to be filtered further. Branches without a filter are not read, rows are never multiplied,
+    and what is shuffled of a branch are its distinct keys. A filter from which no way leads to ``goal`` does not act.
+    A null key has no partner.
+    """
+    tree = filter_tree(relationships, goal)
+    used = {goal}
+    for table in filters:
+        while table in tree and table not in used:
+            used.add(table)
+            table = tree[table][0]
+
+    def left(table: str) -> DataFrame:
+        rows = tables[table].where(filters[table]) if table in filters else tables[table]
+        for child, (inner, step) in tree.items():
+            if inner != table or child not in used:
+                continue
+            branch = left(child)
+            near, far = (step.rel.from_column, step.rel.to_column) if step.forward else (step.rel.to_column, step.rel.from_column)
+            keys = branch.select(_key(branch, far, step.rel.day_only).alias("_far")).distinct()
+            rows = rows.join(keys, _key(rows, near, step.rel.day_only) == keys["_far"], "left_semi")
+        return rows
+
+    return left(goal)
+
+
+def propagate_all(
+    tables: Mapping[str, DataFrame], relationships: Sequence[Relationship], filters: Mapping[str, Column], goals: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """Every table (or each of ``goals``) under filters on several tables at once. ``filters`` maps a table to a condition
+    on its columns."""
+    return {goal: propagate_to(tables, relationships, filters, goal) for goal in (goals or list(tables))}

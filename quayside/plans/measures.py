@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from quayside.functions.conditional import blank_to, not_blank_aware, switch_true
 from quayside.functions.dates import booked_date, days_between, short_date
 from quayside.functions.numbers import growth, growth_label, money
-from quayside.operators.calendar import DATE, calendar_parts, date_range
+from quayside.operators.bitmaps import counted, member_bitmaps, number_members, rollup_bitmaps
+from quayside.operators.calendar import DATE, HIERARCHY, calendar_parts, date_dimension, date_range
 from quayside.operators.star import count_related, path_between, require_unique
-from quayside.operators.summarise import Agg, pre_aggregate
+from quayside.operators.summarise import DEFAULT_SUMMARIES, Agg, pre_aggregate
 from quayside.plans.model import RELATIONSHIPS
 
 Tables = Mapping[str, DataFrame]
@@ -460,3 +461,103 @@ def _evaluate_customers(tables: Tables, by, where, date_from, date_to) -> DataFr
             F.count_if(flag.isNotNull()).alias("_CountCustomersWithOrders"),
         )
     )
+
+
+def customers_rollup(
+    tables: Tables, levels: Sequence[str] = HIERARCHY, where: Mapping[str, Any] | None = None
+) -> DataFrame:
+    """Customers with orders, repeat and new ones, per Year, Quarter, Month and Day, per each coarser level, and in all.
+
+    One scan of the orders gives a bitmap of customers per day; every other level is or-ed from these. A row's ``level``
+    is the number of date columns that are set by grouping. Orders without a date form a group of their own at each
+    level; orders whose customer is unknown count for nothing.
+    """
+    customers = tables[CUSTOMER]
+    if "_HasMultipleOrders" not in customers.columns:
+        customers = add_hasmultipleorders(customers, tables[FACT])
+    flags = customers.where(F.col("_HasMultipleOrders").isNotNull()).select("CustomerId", F.col("_HasMultipleOrders").alias("_flag"))
+    known = number_members(flags, "CustomerId").withColumnRenamed("CustomerId", "_id").join(flags, F.col("_id") == F.col("CustomerId"))
+    known = known.select("_id", "_number", "_flag")
+    orders = _restrict(add_orderbookeddate(tables[FACT]), tables, FACT, dict(where or {}))
+    rows = orders.select("CustomerId", F.col("_OrderBookedDate").alias(DATE)).join(known, F.col("CustomerId") == F.col("_id"))
+    daily = member_bitmaps(rows, [DATE, "_flag"])
+    cells = rollup_bitmaps(calendar_parts(daily), levels, ["_flag"])
+    bits = F.col("_bits")
+    return cells.groupBy(*levels, F.col("_level").alias("level")).agg(
+        counted(F.when(F.col("_flag"), bits)).alias("_CountRepeatCustomers"),
+        counted(F.when(~F.col("_flag"), bits)).alias("_CountNewCustomers"),
+        counted(bits).alias("_CountCustomersWithOrders"),
+    )
+
+
+# ---- several facts -----------------------------------------------------------
+
+
+def summaries(tables: Tables, columns: Sequence[str], by: Sequence[str], where: Mapping[str, Any] | None = None) -> DataFrame:
+    """Default summaries of columns of several facts (``Table.Column``) by attributes of related tables.
+
+    Each fact is summed at the grain of the foreign keys that lead to the attributes, then labelled, then summed per
+    label: a fact row never meets a label. An attribute that no filter path reaches from a fact does not divide it: the
+    fact's value is repeated for each of its values, as the model does. A filter that does not reach a fact leaves it
+    alone likewise. Rows are the groups of the facts that all attributes reach; at least one must be, else it fails.
+    """
+    where = dict(where or {})
+    tables = _with_dates(tables, [*by, *where])
+    wanted: dict[str, list[str]] = {}
+    for name in columns:
+        table, column = _split(name)
+        if column not in DEFAULT_SUMMARIES.get(table, {}):
+            raise ValueError(f"{name} has no default summary")
+        wanted.setdefault(table, []).append(column)
+    reached = {fact: [b for b in by if _reaches(fact, b)] for fact in wanted}
+    whole = [fact for fact in wanted if len(reached[fact]) == len(by)]
+    if not whole:
+        raise ValueError(f"no fact of {sorted(wanted)} is reached by all of {list(by)}")
+    frames = {}
+    for fact, names in wanted.items():
+        aggs = {c: Agg(DEFAULT_SUMMARIES[fact][c], money(c) if tables[fact].schema[c].dataType.typeName() == "double" else c) for c in names}
+        rows = _restrict(tables[fact], tables, fact, {k: v for k, v in where.items() if _reaches(fact, k)})
+        labelled = _label(_at_key_grain(rows, fact, reached[fact], aggs), tables, fact, reached[fact])
+        merged = [agg.merged(c).alias(f"{fact}.{c}") for c, agg in aggs.items()]
+        frames[fact] = labelled.groupBy(*map(_tag, reached[fact])).agg(*merged)
+    keys = list(map(_tag, by))
+    spine = frames[whole[0]].select(*keys)
+    for fact in whole[1:]:
+        spine = spine.unionByName(frames[fact].select(*keys))
+    result = spine.distinct() if len(whole) > 1 else spine
+    for fact, frame in frames.items():
+        held = [f"{fact}.{c}" for c in wanted[fact]]
+        shared = list(map(_tag, reached[fact]))
+        # one struct key, so that a blank label is a label; without shared keys the frame is a single row
+        side = frame.select(F.struct(F.lit(1).alias("_one"), *shared).alias("_side"), *[F.col(f"`{c}`") for c in held])
+        side = side if shared else F.broadcast(side)
+        result = result.join(side, F.struct(F.lit(1).alias("_one"), *shared) == F.col("_side"), "left").drop("_side")
+    return result.select(*[F.col(k).alias(_split(b)[1]) for k, b in zip(keys, by, strict=True)], *[F.col(f"`{c}`").alias(_split(c)[1]) for c in columns])
+
+
+def _with_dates(tables: Tables, names: Sequence[str]) -> Tables:
+    """The tables with booked days on the orders and, if it is asked for and not given, the Date table they span."""
+    if not any(_split(n)[0] == DATE_TABLE for n in names):
+        return tables
+    orders = add_orderbookeddate(tables[FACT])
+    dates = tables[DATE_TABLE] if DATE_TABLE in tables else date_dimension(orders, "OrderBookedDate")
+    names = {*tables, *getattr(tables, "makers", {})}
+    return {**{n: tables[n] for n in names}, FACT: orders, DATE_TABLE: dates}
+
+
+def _reaches(fact: str, name: str) -> bool:
+    """Does a filter on the attribute reach the fact?"""
+    table, _ = _split(name)
+    try:
+        return table == fact or bool(path_between(RELATIONSHIPS, fact, table))
+    except ValueError:
+        return False
+
+
+def _at_key_grain(rows: DataFrame, fact: str, by: Sequence[str], aggs: Mapping[str, Agg]) -> DataFrame:
+    """The fact summed per combination of the columns that lead to the attributes."""
+    keys = []
+    for name in by:
+        table, column = _split(name)
+        keys.append(column if table == fact else path_between(RELATIONSHIPS, fact, table)[0].start_column)
+    return pre_aggregate(rows, list(dict.fromkeys(keys)), aggs)

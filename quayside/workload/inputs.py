@@ -132,6 +132,8 @@ def star(spark: SparkSession, sf_dir: str, lines: bool = False) -> Star:
             "Country": lambda: table(
                 "nation", CountryId=F.col("n_nationkey").cast("bigint"), IsoCountryName="n_name"
             ),
+            "RetailProduct": lambda: table("part", ProductId="p_partkey", CategoryId="p_type"),
+            "ProductCategory": lambda: table("part", ProductCategoryId="p_type", ProductCategoryName="p_type").distinct(),
             "CustomerGroup": lambda: table("customer", CustomerGroupId="c_mktsegment").distinct(),
             "CustomerGroupCustomer": lambda: table("customer", CustomerGroupId="c_mktsegment", CustomerId="c_custkey"),
         }

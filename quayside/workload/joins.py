@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from quayside.operators.calendar import date_dimension, join_on_day
 from quayside.operators.lookup import lookup_any, outer_using, semi
-from quayside.operators.star import Relationship, count_related, propagate_filter, related, related_one
-from quayside.plans.model import relationship
+from quayside.operators.star import Relationship, count_related, propagate_all, propagate_filter, related, related_one
+from quayside.plans.model import RELATIONSHIPS, relationship
 from quayside.workload import query
 from quayside.workload.inputs import load, star
 from quayside.workload.nested import PRODUCTS_SQL, products, variants
@@ -162,6 +162,53 @@ def filter_both(spark, sf):
     return customers.select("CustomerId", "Segment")
 
 
+REACHED = """WITH line AS (SELECT row_number() OVER () AS rid, * FROM lineitem),
+  ok_customer AS (SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM nation WHERE n_nationkey = c_nationkey
+    AND n_name IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_4', 'NATION_5'))),
+  ok_order AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_totalprice > 100000 AND o_orderstatus = 'F'
+    AND EXISTS (SELECT 1 FROM ok_customer WHERE c_custkey = o_custkey))"""
+
+
+@query(
+    "propagate_all",
+    f"""{REACHED}
+    SELECT 'Order' AS "table", o_orderkey::VARCHAR AS key FROM ok_order
+    UNION ALL SELECT 'IndividualCustomer', c_custkey::VARCHAR FROM ok_customer
+      WHERE EXISTS (SELECT 1 FROM ok_order WHERE o_custkey = c_custkey)
+    UNION ALL SELECT 'OrderLine', l_orderkey::VARCHAR || '-' || l_partkey::VARCHAR FROM line
+      WHERE EXISTS (SELECT 1 FROM ok_order WHERE o_orderkey = l_orderkey)
+    UNION ALL SELECT 'OrderStatus', o_orderkey::VARCHAR FROM ok_order
+    UNION ALL SELECT 'OrderStatusType', v FROM (VALUES ('Completed')) t(v)
+    UNION ALL SELECT 'Location', c_custkey::VARCHAR FROM ok_customer WHERE EXISTS (SELECT 1 FROM ok_order WHERE o_custkey = c_custkey)
+    UNION ALL SELECT 'Country', n_name FROM nation WHERE n_name IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_4', 'NATION_5')
+    UNION ALL SELECT 'CustomerGroup', c_mktsegment FROM customer JOIN ok_order ON o_custkey = c_custkey GROUP BY c_mktsegment""",
+)
+def filter_all(spark, sf):
+    """Filters on countries, order status and orders, and what each of eight tables keeps. Countries and status types are
+    only filtered by their own filter, since their edges lead one way."""
+    s = star(spark, sf)
+    filters = {
+        "Country": F.col("IsoCountryName").isin([f"NATION_{i}" for i in range(1, 6)]),
+        "OrderStatusType": F.col("OrderStatusTypeName") == "Completed",
+        "Order": F.col("OrderTotalAmount") > 100000,
+    }
+    keys = {
+        "Order": F.col("OrderId").cast("string"),
+        "IndividualCustomer": F.col("CustomerId").cast("string"),
+        "OrderLine": F.concat_ws("-", "OrderId", "ProductId"),
+        "OrderStatus": F.col("OrderId").cast("string"),
+        "OrderStatusType": F.col("OrderStatusTypeName"),
+        "Location": F.col("LocationId").cast("string"),
+        "Country": F.col("IsoCountryName"),
+        "CustomerGroup": F.col("CustomerGroupId"),
+    }
+    result = None
+    for name, df in propagate_all(s, RELATIONSHIPS, filters, list(keys)).items():
+        part = df.select(F.lit(name).alias("table"), keys[name].alias("key"))
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
 @query(
     "count_related",
     """SELECT c_custkey AS "CustomerId", CAST(nullif(count(o_orderkey), 0) AS BIGINT) AS orders FROM customer

@@ -8,6 +8,7 @@ from quayside.plans.measures import (
     add_hasmultipleorders,
     add_orderbookeddate,
     add_repeatornewcustomer,
+    customers_rollup,
     evaluate,
 )
 from quayside.plans.model import add_orderstatusforsalesrevenue
@@ -236,6 +237,19 @@ def customers_by_month(spark, sf):
     return evaluate(star(spark, sf), CUSTOMERS, ["Date.Year", "Date.MonthNo"])
 
 
+@query(
+    "customers_rollup",
+    f"""WITH {STAR_SQL}, {FLAGS}, s AS (SELECT CAST(year(d) AS INTEGER) AS y, 'Qtr ' || quarter(d)::VARCHAR AS q,
+      strftime(d, '%B') AS m, CAST(day(d) AS INTEGER) AS dd, c_custkey, flag FROM o JOIN flags ON c_custkey = "CustomerId"
+      WHERE flag IS NOT NULL)
+    SELECT y AS "Year", q AS "Quarter", m AS "Month", dd AS "Day", CAST(4 - grouping(y) - grouping(q) - grouping(m) - grouping(dd) AS INTEGER)
+      AS level, {COUNTS} FROM s GROUP BY ROLLUP (y, q, m, dd)""",
+)
+def rolled_customers(spark, sf):
+    """Distinct customers at all four levels and in all, from one bitmap a day."""
+    return customers_rollup(star(spark, sf))
+
+
 @query(
     "customer_flags",
     f"""WITH {STAR_SQL}, {FLAGS} SELECT c_custkey AS "CustomerId", flag AS "_HasMultipleOrders",

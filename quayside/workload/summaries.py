@@ -17,6 +17,7 @@ from quayside.operators.summarise import (
     sum_of,
     summarize,
 )
+from quayside.plans.measures import summaries
 from quayside.sources.tables import preview
 from quayside.workload import query
 from quayside.workload.inputs import STAR_SQL, load, star
@@ -120,6 +121,43 @@ def defaults(spark, sf):
     return result
 
 
+@query(
+    "summaries_by_category",
+    f"""WITH {STAR_SQL}, a AS (SELECT CAST(sum(amt) AS DOUBLE) AS amount, CAST(sum(lines) AS BIGINT) AS lines FROM o),
+    q AS (SELECT p_type AS "ProductCategoryName", CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS "Quantity",
+      CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS "TotalOrderLineAmount"
+      FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY p_type)
+    SELECT q.*, amount AS "OrderTotalAmount", lines AS "NumberOfOrderLines" FROM q, a""",
+)
+def by_category(spark, sf):
+    """Quantities of lines by product type, beside order amounts, which no product filters and so repeat in every row."""
+    columns = ["OrderLine.Quantity", "OrderLine.TotalOrderLineAmount", "Order.OrderTotalAmount", "Order.NumberOfOrderLines"]
+    return _as_doubles(summaries(star(spark, sf, lines=True), columns, ["ProductCategory.ProductCategoryName"]))
+
+
+@query(
+    "summaries_by_segment_and_year",
+    f"""WITH {STAR_SQL}, a AS (SELECT c_mktsegment AS s, CAST(year(d) AS INTEGER) AS y, CAST(sum(amt) AS DOUBLE) AS amount
+      FROM o JOIN customer ON c_custkey = "CustomerId" GROUP BY 1, 2),
+    q AS (SELECT c_mktsegment AS s, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE)
+      AS quantity FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+      JOIN part ON p_partkey = l_partkey AND p_type <> 'PROMO' GROUP BY 1, 2)
+    SELECT coalesce(a.s, q.s) AS "Segment", coalesce(a.y, q.y) AS "Year", amount AS "OrderTotalAmount", quantity AS "Quantity"
+    FROM a FULL JOIN q ON a.s = q.s AND a.y = q.y""",
+)
+def by_segment_and_year(spark, sf):
+    """Two facts over shared dimensions. The filter on product types reaches lines only."""
+    s = star(spark, sf)
+    types = [r.p_type for r in load(spark, sf, "part").select("p_type").distinct().where("p_type <> 'PROMO'").collect()]
+    by = ["IndividualCustomer.Segment", "Date.Year"]
+    where = {"ProductCategory.ProductCategoryName": types}
+    return _as_doubles(summaries(s, ["Order.OrderTotalAmount", "OrderLine.Quantity"], by, where))
+
+
+def _as_doubles(df):
+    return df.select([F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])
+
+
 @query("sorted_rows", "SELECT p_partkey, p_brand, p_name FROM part ORDER BY p_brand, p_name")
 def sorted_rows(spark, sf):
     return load(spark, sf, "part").select("p_partkey", "p_brand", "p_name").orderBy("p_brand", "p_name")

@@ -37,14 +37,20 @@ def semi(df: DataFrame, other: DataFrame, on: dict[str, str]) -> DataFrame:
 def outer_using(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Full outer join with one merged key. Null keys never match and stay on both sides.
 
-    Rows with null keys are set aside and added back, so they do not pile up in
-    one task of the shuffle.
+    Written as a left outer join plus the rows of the right side whose key the
+    left side lacks: adaptive execution can split a key that holds many rows of
+    the left side, which it cannot in a full outer join. The anti join needs
+    the left side's distinct keys only, and its long side may be split as well.
+    Put the side with hot keys on the left. Rows with null keys are set aside
+    and added back, so they do not pile up in one task of the shuffle.
     """
     on = list(on)
     filled = F.lit(True)
     for key in on:
         filled = filled & F.col(key).isNotNull()
-    joined = left.where(filled).join(right.where(filled), on, "full_outer")
+    known, other = left.where(filled), right.where(filled)
+    alone = other.join(known.select(*on).distinct(), on, "left_anti")
+    joined = known.join(other, on, "left").unionByName(alone, allowMissingColumns=True)
     for side in (left, right):
         joined = joined.unionByName(side.where(~filled), allowMissingColumns=True)
     return joined

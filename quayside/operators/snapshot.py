@@ -22,12 +22,11 @@ def max_over(df: DataFrame, value: str, keys: Sequence[str], out: str) -> DataFr
 
     Written as an aggregate joined back, not as a window: the aggregate combines
     before its shuffle, and the join may split a group that is far larger than
-    the others. Null keys form a group of their own.
+    the others. Null keys form a group of their own: the join is by one struct
+    of all keys, which is never null, so the aggregate is not shuffled again.
     """
-    top = df.groupBy(*keys).agg(F.max(value).alias(out))
-    right = top.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], out)
-    on = [df[k].eqNullSafe(right[f"_k{i}"]) for i, k in enumerate(keys)]
-    return df.join(right, on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    top = df.groupBy(F.struct(*keys).alias("_group")).agg(F.max(value).alias(out))
+    return df.withColumn("_group", F.struct(*keys)).join(top, "_group", "left").drop("_group")
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

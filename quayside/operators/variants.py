@@ -1,7 +1,8 @@
 """Product options to variants, as column expressions on the product's own row.
 
-A product document carries its specs and their options, so nothing here needs
-a shuffle: every variant row knows the options it was built from.
+A product document carries its specs and their options, so every variant row
+knows the options it was built from. Only products with very many variants are
+moved, to spread them.
 """
 
 from __future__ import annotations
@@ -12,6 +13,10 @@ from pyspark.sql import functions as F
 from quayside.functions._columns import as_col
 
 
+#: Numbers that one row counts out before they are cut into ranges.
+RANGE = 1024
+
+
 def _option_ids(spec: Column) -> Column:
     return F.filter(F.transform(spec["Options"], lambda o: o["ID"]), lambda v: v.isNotNull())
 
@@ -76,13 +81,12 @@ def expand_variants(
 
     Combination n is written in the mixed-radix number system of the list
     lengths, so a row is generated per number instead of building all texts in
-    one value. Products without a combination keep one row with a null variant.
+    one value; a product with very many is spread over the tasks in ranges of
+    numbers. Products without a combination keep one row with a null variant.
     With ``members`` the rows also carry the characteristics of their options.
     """
     column = F.col(lists)
-    total = F.coalesce(variant_count(column), F.lit(0).cast("bigint"))
-    numbers = F.when(total > 0, F.sequence(F.lit(0).cast("bigint"), total - 1))
-    rows = df.withColumn("_w", _weights(column)).select("*", F.explode_outer(numbers).alias("_v"))
+    rows = spread_numbers(df.withColumn("_w", _weights(column)), variant_count(column), "_v")
     digits = F.zip_with(
         column, F.col("_w"), lambda o, w: (F.call_function("div", F.col("_v"), w) % F.size(o)).cast("int")
     )
@@ -96,6 +100,30 @@ def expand_variants(
     return rows.drop("_w", "_v", "_digits")
 
 
+def spread_numbers(df: DataFrame, total: Column, out: str, width: int = RANGE) -> DataFrame:
+    """Numbers from 0 up to ``total`` as rows; one row with null where there are none.
+
+    The numbers of a row that has more than ``width`` of them are first cut into ranges, which become rows and are dealt
+    evenly over the tasks before they are counted out. So no value grows with ``total``, and a row with very many numbers
+    is spread like very many rows. Other rows are not moved.
+    """
+    rows = df.withColumn("_total", F.coalesce(total, F.lit(0).cast("bigint")))
+    one = F.lit(1).cast("bigint")
+    few = rows.where(F.col("_total") <= width)
+    few = few.select("*", F.explode_outer(F.when(F.col("_total") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("_total") - one))).alias(out))
+
+    def cut(frame: DataFrame, start: str, size: Column | int, step: int, name: str) -> DataFrame:
+        first = F.col(start) if start else F.lit(0).cast("bigint")
+        last = F.least(first + size - one, F.col("_total") - one)
+        return frame.select("*", F.explode(F.sequence(first, last, F.lit(step).cast("bigint"))).alias(name))
+
+    wide = cut(rows.where(F.col("_total") > width), "", F.col("_total"), width * width, "_far")
+    wide = cut(wide, "_far", width * width, width, "_near").drop("_far")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = cut(wide.repartition(tasks), "_near", width, 1, out).drop("_near")
+    return few.unionByName(many).drop("_total")
+
+
 def contains_match(specs: Column | str, variant: Column | str) -> Column:
     """The options whose id occurs anywhere in the variant id, so ``1`` also belongs to ``...-10``."""
 

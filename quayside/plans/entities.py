@@ -465,7 +465,7 @@ def product_snapshot(changes: DataFrame, run: Run) -> DataFrame:
 def product_variants(snap: DataFrame, rules: Rules) -> DataFrame:
     """One row per variant, or the product itself without variants, with its characteristics and names.
 
-    A map over the snapshot: the specs travel with their product.
+    A map over the snapshot: the specs travel with their product, and stay behind once they are read into lists.
     """
     listed = snap.withColumn("_lists", option_lists("Specs"))
     if rules.options_by_text:
@@ -474,6 +474,8 @@ def product_variants(snap: DataFrame, rules: Rules) -> DataFrame:
         expanded = expanded.withColumn("characteristics", match)
     else:
         listed = listed.withColumn("_members", option_members("Specs", "_lists"))
+        # of the specs only their number is asked for from here on
+        listed = listed.withColumn("Specs", F.transform("Specs", lambda _: F.lit(0)))
         expanded = expand_variants(listed, "ExternalProductID", "_lists", members="_members")
     own_id = F.coalesce("ProductID", "ExternalProductID")
     return (

@@ -105,15 +105,20 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], *, i
 
     Rows missing afterwards become ``delete``, new ones ``insert``; changed rows
     give a pair of update images, or with ``images=False`` only the later one.
-    Null-safe keys, so a null key is one key.
+    A null key is one key. Both sides are united and meet in one aggregate: one
+    shuffle by key, whatever the keys' nulls, and no outer join.
     """
     values = [c for c in after.columns if c not in keys]
-    old = before.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.struct(*values).alias("_old"))
-    new = after.select(*[F.col(k).alias(f"_a_{k}") for k in keys], F.struct(*values).alias("_new"))
-    on = [F.col(f"_b_{k}").eqNullSafe(F.col(f"_a_{k}")) for k in keys]
-    joined = old.join(new, on, "full_outer").select(
-        *[F.coalesce(f"_b_{k}", f"_a_{k}").alias(k) for k in keys], "_old", "_new"
+
+    def side(df: DataFrame, old: bool) -> DataFrame:
+        return df.select(F.struct(*keys).alias("_key"), F.struct(*values).alias("_image"), F.lit(old).alias("_is_old"))
+
+    image = F.col("_image")
+    both = side(before, True).unionByName(side(after, False)).groupBy("_key").agg(
+        F.first(F.when(F.col("_is_old"), image), ignorenulls=True).alias("_old"),
+        F.first(F.when(~F.col("_is_old"), image), ignorenulls=True).alias("_new"),
     )
+    joined = both.select("_key.*", "_old", "_new")
 
     def change(kind: str, image: str):
         return F.struct(F.lit(kind).alias("kind"), F.col(image).alias("image"))

@@ -18,7 +18,7 @@ from quayside.functions.conditional import typed_null, yes_no
 from quayside.functions.dates import to_ts
 from quayside.functions.text import external_key, full_name, item_name, item_sku, normalize_phone, prefix_key
 from quayside.operators.lookup import lookup_any
-from quayside.operators.merge import apply_changes, expired_children, merge_into
+from quayside.operators.merge import MergeSpec, apply_changes, expired_children, merge_into, merge_shared
 from quayside.operators.nested import explode_children, first_of
 from quayside.operators.snapshot import (
     ENQUEUED_TIME,
@@ -135,6 +135,10 @@ class Run:
         self.touched[name] = self._known[memo][0]
         return self.tables.part(name, self.touched[name])
 
+    def place(self, name: str) -> str | None:
+        """Where a frame of this run may be staged."""
+        return None if self.staging is None else f"{self.staging}/{name}"
+
     def keep(self, df: DataFrame, name: str) -> tuple[DataFrame, int | None]:
         """The frame and, once staged, its number of rows (read from the file footers).
 
@@ -361,8 +365,15 @@ def run_users(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict[st
         "CustomerEmail": "EmailAddress",
         "CustomerTelephoneNumber": "TelephoneNumber",
     }
-    key = {"CustomerId": "CustomerId"}
-    return {table: _apply(targets, table, snap, key, {c: c}, run, rows) for table, c in columns.items()}
+    key, ids = {"CustomerId": "CustomerId"}, snap.select("CustomerId")
+    return merge_shared(
+        {table: run.part(targets, table, ids) for table in columns},
+        snap,
+        {table: MergeSpec.upsert(key, {c: c}) for table, c in columns.items()},
+        verb=VERB,
+        on_ambiguous=run.ambiguity,
+        path=run.place("merged_users"),
+    )
 
 
 def run_orders(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict[str, DataFrame]:
@@ -406,15 +417,9 @@ def run_orders(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict[s
             return run.part(targets, table, line_ids)
         return merge_into(run.part(targets, table, ids), ids, "OrderId", delete=True, source_rows=rows)
 
-    # lines are a map over the staged orders: counted for the choice of join, not staged again
-    line_count = None if rows is None else snap.agg(F.sum(F.size("LineItems"))).first()[0] or 0
-
-    def upsert(table: str, source: DataFrame, key: list[str], values: Mapping[str, str], rule: str, count):
+    def upsert(key: list[str], values: Mapping[str, str]) -> MergeSpec:
         on = {k: k for k in key}
-        return merge_into(
-            known(table), source, on, update={t: s for t, s in values.items() if t not in on},
-            insert={**on, **values}, on_ambiguous=rule, source_rows=count,
-        )
+        return MergeSpec(on, update={t: s for t, s in values.items() if t not in on}, insert={**on, **values})
 
     def status(prefix: str) -> dict[str, str]:
         return {
@@ -428,21 +433,23 @@ def run_orders(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict[s
     line_values = {
         c: c for c in ("OrderId", "ProductId", "ProductSalesPriceAmount", "Quantity", "TotalOrderLineAmount")
     }
-    return {
-        "Order": upsert("Order", orders, ["OrderId"], order_values, run.ambiguity, rows),
+    of_orders = {
+        "Order": upsert(["OrderId"], order_values),
         # the update half would set the key to itself, so only new orders matter
-        "Shipment": merge_into(
-            known("Shipment"), orders, {"ShipmentOrderId": "OrderId"}, insert={"ShipmentOrderId": "OrderId"},
-            on_ambiguous=run.ambiguity, source_rows=rows,
-        ),
-        "OrderStatus": upsert("OrderStatus", orders, ["OrderId"], status("OrderStatus"), run.ambiguity, rows),
-        # line ids come from the document, so repeated ones are possible and checked
-        "OrderLine": upsert("OrderLine", lines, line_key, line_values, "error", line_count),
-        "OrderLineStatus": upsert(
-            "OrderLineStatus", lines, line_key, {"OrderId": "OrderId", **status("OrderLineStatus")}, "error", line_count
-        ),
+        "Shipment": MergeSpec({"ShipmentOrderId": "OrderId"}, insert={"ShipmentOrderId": "OrderId"}),
+        "OrderStatus": upsert(["OrderId"], status("OrderStatus")),
+    }
+    of_lines = {
+        "OrderLine": upsert(line_key, line_values),
+        "OrderLineStatus": upsert(line_key, {"OrderId": "OrderId", **status("OrderLineStatus")}),
     }
 
+    def merged(source: DataFrame, specs: Mapping[str, MergeSpec], rule: str, name: str) -> dict[str, DataFrame]:
+        return merge_shared({t: known(t) for t in specs}, source, specs, on_ambiguous=rule, path=run.place(name))
+
+    # line ids come from the document, so repeated ones are possible and checked
+    return merged(orders, of_orders, run.ambiguity, "merged_orders") | merged(lines, of_lines, "error", "merged_lines")
+
 
 def product_snapshot(changes: DataFrame, run: Run) -> DataFrame:
     events = flatten_event(
@@ -504,7 +511,7 @@ def run_products(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict
     """Products and their variants; variants that a product no longer has are swept from four tables."""
     rules = run.rules
     snap = product_snapshot(changes, run)
-    variants, rows = run.keep(product_variants(snap, rules), "variants")
+    variants, _ = run.keep(product_variants(snap, rules), "variants")
 
     type_id = prefix_key("c.spec_id") if rules.prefix_characteristic_type else F.col("c.spec_id")
     characteristics = variants.select("ProductId", F.explode("characteristics").alias("c")).select(
@@ -536,15 +543,8 @@ def run_products(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict
 
     related_ids, variant_ids, gone = related.select("RelatedProductId"), variants.select("ProductId"), expired.select("RelatedProductId")
 
-    def put(table: str, source: DataFrame, on: Mapping[str, str], values: Mapping[str, str], rule: str, count=None):
-        if table == "ProductCharacteristicType":
-            stored = run.part(targets, table, source.select("TypeId"))
-        else:
-            stored = run.part(targets, table, related_ids if table == "RelatedProduct" else variant_ids, gone)
-        return merge_into(stored, source, on, update=values, insert={**on, **values}, on_ambiguous=rule, source_rows=count)
-
-    def swept(df: DataFrame, column: str) -> DataFrame:
-        return merge_into(df, expired, {column: "RelatedProductId"}, delete=True, source_rows=expired_rows)
+    def stored(table: str, *keys: DataFrame) -> DataFrame:
+        return run.part(targets, table, *keys)
 
     product = {"ProductId": "ProductId"}
     product_values = {
@@ -562,22 +562,37 @@ def run_products(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict
     }
     period = {"ProductCharacteristicPeriodStartDate": "start", "ProductCharacteristicPeriodEndDate": "end"}
     related_values = {"ProductId": "ProductId", "ProductRelationshipTypeId": "ProductRelationshipTypeId"}
-    return {
-        # two products may spell the same variant id, so these merges check
-        "RelatedProduct": swept(
-            put("RelatedProduct", related, {"RelatedProductId": "RelatedProductId"}, related_values, "error", rows),
-            "RelatedProductId",
-        ),
-        "RetailProduct": swept(put("RetailProduct", variants, product, product_values, "error", rows), "ProductId"),
-        "Item": swept(put("Item", variants, product, item_values, "error", rows), "ProductId"),
-        "ProductCharacteristic": swept(
-            put("ProductCharacteristic", characteristics, characteristic_key, period, "assume_unique"), "ProductId"
-        ),
-        "ProductCharacteristicType": put(
-            "ProductCharacteristicType", types, {"ProductCharacteristicTypeId": "TypeId"},
-            {"ProductCharacteristicTypeName": "TypeName"}, "error",
-        ),
-    }
+    # two products may spell the same variant id, so these merges check
+    of_variants = merge_shared(
+        {table: stored(table, variant_ids, gone) for table in ("RetailProduct", "Item")},
+        variants,
+        {"RetailProduct": MergeSpec.upsert(product, product_values), "Item": MergeSpec.upsert(product, item_values)},
+        expired=gone,
+        path=run.place("merged_variants"),
+    )
+    of_relations = merge_shared(
+        {"RelatedProduct": stored("RelatedProduct", related_ids, gone)},
+        related,
+        {"RelatedProduct": MergeSpec.upsert({"RelatedProductId": "RelatedProductId"}, related_values)},
+        expired=gone,
+    )
+    # characteristics are swept by product alone: those stored first, then those of variants that two products spell alike
+    kept, fresh = (
+        merge_into(df, gone, {"ProductId": "RelatedProductId"}, delete=True, source_rows=expired_rows)
+        for df in (stored("ProductCharacteristic", variant_ids, gone), characteristics)
+    )
+    of_characteristics = merge_shared(
+        {"ProductCharacteristic": kept},
+        fresh,
+        {"ProductCharacteristic": MergeSpec.upsert(characteristic_key, period)},
+        on_ambiguous="assume_unique",
+    )
+    of_types = merge_shared(
+        {"ProductCharacteristicType": stored("ProductCharacteristicType", types.select("TypeId"))},
+        types,
+        {"ProductCharacteristicType": MergeSpec.upsert({"ProductCharacteristicTypeId": "TypeId"}, {"ProductCharacteristicTypeName": "TypeName"})},
+    )
+    return of_variants | of_relations | of_characteristics | of_types
 
 
 Job = Callable[[DataFrame, Targets, Run], dict[str, DataFrame]]

@@ -72,7 +72,7 @@ def users(spark, sf):
         "CustomerTelephoneNumber": target(spark, "CustomerTelephoneNumber", known),
     }
     return _stacked(
-        jobs.run_users(bronze.users(spark, sf), targets),
+        jobs.run_users(bronze.users(spark, sf), targets, jobs.Run(staging=run_dir(spark, "users"))),
         IndividualCustomer=("CustomerId", "IndividualCustomerName"),
         CustomerEmail=("CustomerId", "EmailAddress"),
         CustomerTelephoneNumber=("CustomerId", "TelephoneNumber"),
@@ -98,7 +98,7 @@ def addresses(spark, sf):
         F.concat(F.lit("SC-"), F.col("s_suppkey").cast("string")).alias("LocationId"), F.lit("old").alias("LocationCity")
     )
     targets = {"Location": target(spark, "Location", known), "Country": target(spark, "Country", country)}
-    return jobs.run_addresses(bronze.addresses(spark, sf), targets)["Location"]
+    return jobs.run_addresses(bronze.addresses(spark, sf), targets, jobs.Run(staging=run_dir(spark, "addresses")))["Location"]
 
 
 @query(

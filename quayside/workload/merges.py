@@ -197,7 +197,9 @@ def sweep(spark, sf):
     children = pairs.select("parent", "child")
     changed = load(spark, sf, "supplier").where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey").alias("parent"))
     current = pairs.where("live").select("parent", "child")
-    done = mark_and_sweep(children, current, changed, "parent", "child", {"stock": (children, "child")})
+    done = mark_and_sweep(
+        children, current, changed, "parent", "child", {"stock": (children, "child")}, expired_path=run_dir(spark, "expired")
+    )
     return (
         done.children.withColumn("part", F.lit("children"))
         .unionByName(done.expired.withColumn("part", F.lit("expired")), allowMissingColumns=True)

@@ -10,6 +10,7 @@ and no copy of an order row.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -30,6 +31,7 @@ Tables = Mapping[str, DataFrame]
 FACT = "Order"
 CUSTOMER = "IndividualCustomer"
 DATE_TABLE = "Date"
+MONTH = "_BookedMonth"  # first day of the month, by which a materialised fact is cut into folders
 
 # The comparison year is 365 days, and the customer labels.
 YEAR_DAYS = 365
@@ -347,6 +349,20 @@ def _bounds(tables: Tables) -> DataFrame:
     return date_range(tables[FACT], "OrderBookedDate")
 
 
+def _in_window(orders: DataFrame, roles: Sequence[str], date_from: str | None, date_to: str | None) -> DataFrame:
+    """Orders that selected dates and the periods they are compared with can reach, as a filter the scan can use."""
+    if date_from is None or date_to is None:
+        return orders
+    first, last = (dt.date.fromisoformat(d) for d in (date_from, date_to))
+    starts = {"cur": first, "prev": first - ((last - first) + dt.timedelta(days=1)), "year": first - dt.timedelta(days=YEAR_DAYS)}
+    start = min(starts[r] for r in roles)
+    booked = F.col("OrderBookedDate")
+    orders = orders.where((booked >= F.lit(start)) & (booked < F.lit(last + dt.timedelta(days=1))))
+    if MONTH in orders.columns:
+        orders = orders.where(F.col(MONTH).between(F.lit(start.replace(day=1)), F.lit(last)))
+    return orders
+
+
 def _order_rows(
     tables: Tables,
     by: Sequence[str],
@@ -357,7 +373,7 @@ def _order_rows(
     bounds: bool = False,
 ) -> DataFrame:
     """Order rows in their cells, with ``_role`` and, where dates matter, the bounds of the cell."""
-    orders = _restrict(add_orderbookeddate(tables[FACT]), tables, FACT, where)
+    orders = _restrict(add_orderbookeddate(_in_window(tables[FACT], roles, date_from, date_to)), tables, FACT, where)
     dates = [_split(b)[1] for b in by if _split(b)[0] == DATE_TABLE]
     others = [b for b in by if _split(b)[0] != DATE_TABLE]
     rows = _label(orders, tables, FACT, others)
@@ -385,7 +401,7 @@ def _order_totals(
     columns: Sequence[str],
 ) -> DataFrame:
     """Sums of order rows per cell, span of days and role: what ``_order_rows`` gives, summed before it is handed out."""
-    orders = _restrict(add_orderbookeddate(tables[FACT]), tables, FACT, where)
+    orders = _restrict(add_orderbookeddate(_in_window(tables[FACT], roles, date_from, date_to)), tables, FACT, where)
     dates = [_split(b)[1] for b in by if _split(b)[0] == DATE_TABLE]
     others = [b for b in by if _split(b)[0] != DATE_TABLE]
     rows = _label(orders, tables, FACT, others)

@@ -15,8 +15,16 @@ from quayside.operators.snapshot import (
     split_by_verb,
 )
 from quayside.session import run_dir
-from quayside.sources.changes import latest_version, overwrite_changes, read_changes, snapshot_diff
-from quayside.sources.state import advance, init_state, max_value, read_state, version_window
+from quayside.sources.changes import (
+    append_commit,
+    latest_version,
+    newest_commit,
+    open_window,
+    overwrite_changes,
+    read_changes,
+    snapshot_diff,
+)
+from quayside.sources.state import advance, has_new_data, init_state, max_value, next_version, read_state, version_window
 from quayside.workload import query
 from quayside.workload.inputs import FEED_SQL, feed, load
 
@@ -128,6 +136,34 @@ def next_version_window(spark, sf):
     return version_window(state, log, "PATCH")
 
 
+@query(
+    "commit_window",
+    f"""WITH {FEED_SQL} SELECT 3::BIGINT AS newest, 2::BIGINT AS next, true AS new_data, false AS more, event_id, Verb FROM feed
+    WHERE Verb <> 'DELETE'""",
+)
+def commit_window(spark, sf):
+    """The feed in three commits, one per verb, the first of them processed. What a run does before it maps anything: the
+    next version by the state, the newest one by the folders of the log, the gate, and the rows of the window."""
+    root = run_dir(spark, "window")
+    rows = feed(spark, sf).select("event_id", "Verb")
+    for verb in ("DELETE", "PATCH", "POST"):
+        append_commit(rows.where(F.col("Verb") == verb), f"{root}/log")
+    init_state(spark, f"{root}/state", ["feed"])
+    advance(spark, f"{root}/state", "feed", 1)
+    first, newest = next_version(read_state(spark, f"{root}/state"), "feed"), newest_commit(spark, f"{root}/log")
+    window = open_window(spark, f"{root}/log", rows.schema, first, newest)
+    advance(spark, f"{root}/state", "feed", newest)
+    after = next_version(read_state(spark, f"{root}/state"), "feed")
+    return window.select(
+        F.lit(newest).cast("bigint").alias("newest"),
+        F.lit(first).cast("bigint").alias("next"),
+        F.lit(has_new_data(first, newest)).alias("new_data"),
+        F.lit(has_new_data(after, newest)).alias("more"),
+        "event_id",
+        "Verb",
+    )
+
+
 @query("accept_ok_events", "SELECT event_id, event_type FROM events WHERE event_type <> 'error'")
 def ok_events(spark, sf):
     report = F.when(F.col("event_type") == "error", F.array(F.col("props")))

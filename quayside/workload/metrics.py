@@ -11,7 +11,9 @@ from quayside.plans.measures import (
     customers_rollup,
     evaluate,
 )
+from quayside.plans.materialized import materialize_star
 from quayside.plans.model import add_orderstatusforsalesrevenue
+from quayside.session import run_dir
 from quayside.workload import query
 from quayside.workload.inputs import STAR_SQL, star
 
@@ -158,6 +160,19 @@ periods("kpi_selected_period", [*TOTALS, "_DateRangeLabel", "_DaysInDateRangeFil
 periods("kpi_all_order_measures", list(VALUES), ["Year", "Quarter"])
 
 
+_selected = [*TOTALS, "_OrderTotalAmountPrevYear", "_DateRangeLabel"]
+
+
+@query("kpi_materialized", period_sql("", "", select_sql(_selected), '"Segment"', RANGE_SQL, "'cur', 'prev', 'year'"))
+def materialized(spark, sf):
+    """Selected dates by segment over the materialised star: months outside are not opened, the join needs no shuffle."""
+    path = run_dir(spark, "star")
+    tables = star(spark, sf)
+    some = {n: tables[n] for n in ("Order", "IndividualCustomer")}
+    stored = materialize_star(some, path, prefix=path.rsplit("/", 1)[1].replace("-", "_"), buckets=4)
+    return _rounded(evaluate(stored, _selected, ["IndividualCustomer.Segment"], **RANGE))
+
+
 def simple(name: str, by: list[str], key: str, where_sql: str = "true", extra: str = "", **filters) -> None:
     group = f"GROUP BY {key}" if key else ""
     head = f"{key}, " if key else ""

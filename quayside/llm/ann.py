@@ -38,8 +38,18 @@ class Tree:
         self.root = self.grow(np.arange(len(first)))
 
     def distances(self, queries: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Euclidean distances of queries and points, each summed from differences."""
-        return np.sqrt(((queries[:, None, :] - self.points[at][None, :, :]) ** 2).sum(2))
+        """Euclidean distances of queries and points, each summed from differences. Where squares would leave the range of
+        a double, the differences are divided by the largest one first."""
+        with np.errstate(over="ignore", under="ignore"):
+            apart = queries[:, None, :] - self.points[at][None, :, :]
+            out = np.sqrt((apart**2).sum(2))
+            odd = np.nonzero((out < 1e-140) | (out > 1e140))
+            if len(odd[0]):
+                part = apart[odd]
+                top = np.abs(part).max(1, initial=0.0)
+                safe = np.where((top > 0) & np.isfinite(top), top, 1.0)[:, None]
+                out[odd] = np.where(np.isfinite(top), top * np.sqrt(((part / safe) ** 2).sum(1)), np.inf)
+        return out
 
     def grow(self, at: np.ndarray):
         """A leaf is an array; a node is (point, radius, inside, outside). The point lies far from the first one."""
@@ -61,7 +71,7 @@ class Tree:
         self.names = np.full((len(own), k), np.iinfo(np.int64).max)
         if len(self.points):
             self.visit(self.root, np.arange(len(own)))
-        found = np.isfinite(self.best)
+        found = self.names != np.iinfo(np.int64).max
         row, column = np.nonzero(found)
         return row, self.names[row, column], self.best[row, column]
 
@@ -71,9 +81,9 @@ class Tree:
         wide = np.repeat(np.arange(len(at)), [len(n) for n in names])
         flat = np.concatenate(names)
         far = d[:, wide]
-        far = np.where(flat[None, :] == self.own[who][:, None], np.inf, far)
-        all_d = np.hstack([self.best[who], far])
-        all_n = np.hstack([self.names[who], np.broadcast_to(flat, far.shape)])
+        same = flat[None, :] == self.own[who][:, None]
+        all_d = np.hstack([self.best[who], np.where(same, np.inf, far)])
+        all_n = np.hstack([self.names[who], np.where(same, np.iinfo(np.int64).max, flat[None, :])])
         order = np.lexsort((all_n, all_d), axis=1)[:, : self.k]
         self.best[who] = np.take_along_axis(all_d, order, 1)
         self.names[who] = np.take_along_axis(all_n, order, 1)
@@ -97,8 +107,10 @@ class Tree:
         inner = d <= radius
         self.visit(inside, who[inner])
         self.visit(outside, who[~inner])
-        gap = np.abs(d - radius) * self.relax - 1e-9  # rounding must not hide a tie
-        open_ = gap <= self.best[who, -1]
+        with np.errstate(over="ignore", invalid="ignore"):
+            gap = np.abs(d - radius) * self.relax
+            gap -= 1e-9 * np.maximum(1e-300, np.minimum(d, radius))  # rounding must not hide a tie
+            open_ = ~(gap > self.best[who, -1])
         self.visit(outside, who[inner & open_])
         self.visit(inside, who[~inner & open_])
 
@@ -115,10 +127,13 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.0
     """The ``k`` nearest rows of ``base`` for each row of ``queries``: ``query_id``, ``rank``, ``vec_id``, ``score`` (distance).
 
     A row with no usable vector takes no part on either side; a query's own id is no candidate; rows that repeat an id
-    and vector count once per row of ``base``; with fewer than ``k`` candidates all are returned; empty tables give no
-    rows. Other columns are not read. All vectors must have as many components.
+    and vector count once per row of ``base``; of several query rows with one id the one with the least vector asks; a
+    vector is only compared with those of as many components; with fewer than ``k`` candidates all are returned; empty
+    tables give no rows. Finite vectors of any size take part; a distance beyond the range of a double is infinite. Other
+    columns are not read.
     """
-    vectors, asked = usable(base, key, vector), usable(queries, key, vector).dropDuplicates(["id"])
+    vectors = usable(base, key, vector).withColumn("dim", F.size("vector"))
+    asked = usable(queries, key, vector).groupBy("id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector"))
     shards = max(1, -(-base.count() // SHARD))
     blocks = max(1, -(-queries.count() // BLOCK))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -133,7 +148,7 @@ def nearest(base: DataFrame, queries: DataFrame, k: int = 10, relax: float = 1.0
         row, names, far = tree.search(own, np.stack(wanted["vector"].to_numpy()).astype(np.float64), k, relax)
         return pd.DataFrame({"query_id": own[row], "vec_id": names, "score": far})
 
-    keys = ["shard", "block"]
+    keys = ["dim", "shard", "block"]
     per_shard = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = per_shard.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

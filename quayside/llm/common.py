@@ -56,6 +56,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores after it until no column of the frames has it."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Python workers take at most so many rows at a time, where the session leaves that to the default: texts may be
+    long, and a batch is held by the JVM and the worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, str(rows))
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows with about ``limit`` bytes of text; a longer text stands alone."""
     for batch in batches:

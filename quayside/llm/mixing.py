@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quayside.llm.common import query, table
+from quayside.llm.common import free_name, query, table
 from quayside.session import run_dir, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -158,16 +158,20 @@ def in_training_order(assigned: DataFrame, key: str = "doc_id") -> DataFrame:
 def mix_documents(docs: DataFrame, mix: Mix | None = None, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is drawn, whole, sorted by position within ranges.
 
-    Repeated keys draw together: they take the draws of their row with the largest count.
+    Repeated keys draw together: they take the draws of their row with the largest count. Rows with a null key or source
+    are drawn like others, a null text is never drawn; an empty table gives no rows; other columns, whatever their names,
+    go along.
     """
     assigned = assign(docs, mix, key, text, source, whole=True).where("copies > 0")
-    chosen = assigned.groupBy(F.col(key).alias("_key"), F.col(key).isNull().alias("_none")).agg(
-        F.max_by("positions", F.struct("copies", -F.col("position"), "positions")).alias("_positions")
+    same, drawn, turn, position = (free_name(n, docs) for n in ("_key", "_positions", "_turn", "_position"))
+    chosen = assigned.groupBy(F.col(key).alias(same), F.col(key).isNull().alias(free_name("_none", docs))).agg(
+        F.max_by("positions", F.struct("copies", -F.col("position"), "positions")).alias(drawn)
     )
-    joined = docs.join(chosen, docs[key].eqNullSafe(chosen["_key"]))
-    repeated = joined.select(*[docs[c] for c in docs.columns], F.posexplode("_positions").alias("_turn", "_position"))
+    chosen = chosen.select(same, drawn)
+    joined = docs.join(chosen, docs[key].eqNullSafe(chosen[same]))
+    repeated = joined.select(*[docs[c] for c in docs.columns], F.posexplode(drawn).alias(turn, position))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return repeated.repartitionByRange(n, "_position", key, "_turn").sortWithinPartitions("_position", key).drop("_turn", "_position")
+    return repeated.repartitionByRange(n, position, key, turn).sortWithinPartitions(position, key).drop(turn, position)
 
 
 SQL = r"""

@@ -1,24 +1,28 @@
 """Toxicity by weak supervision.
 
 Voters are lexicon entries: whole words and word beginnings that labelled rows mark as telling, found by a likelihood
-ratio test on a bounded sample. Pattern voters look at how many words fire and how densely, and the annotator who set the
-label of a learning row is one more voter. A generative label model estimates the accuracy of every voter by expectation
-maximisation; voters whose votes stay correlated within both classes share their evidence. A linear classifier is trained
-on the posterior labels, and calibrated so that a score of 0.7 separates. Every whole text is scored in one narrow pass.
+ratio test on a bounded sample. Pattern voters look at how many words fire and how densely. A generative label model sees
+nothing but their votes: from the majority on, it estimates by expectation maximisation how often each voter is right and
+which voters agree beyond that; those share their evidence. A linear classifier is trained on the posterior labels. Labels
+choose the voters and place the cut, a score of 0.7, and are read for nothing else. Every whole text is scored in one
+narrow pass.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.common import Memo, as_text, query, table, text_slices
+from quayside.session import run_dir, stage
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of word beginnings that may become voters.
@@ -110,26 +114,30 @@ def drop_nested(rows: dict[str, int]) -> list[str]:
 def label_model(toxic: np.ndarray, clean: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Posterior of toxic for each row, from the 0/1 votes for it (``toxic``) and against it (``clean``).
 
-    A voter that does not vote says nothing. The accuracy of each voter is the mean posterior of its votes; every ten
-    rounds the correlation of votes within the classes is estimated, and a voter's evidence is divided by the sum of its
-    squared correlations with all voters, so that voters which always agree count once.
+    A model of two classes: each voter votes with one probability in toxic rows and another in the others, the larger one
+    on its own side; voters that vote alike on every row are one. The start is the share of a row's votes that say toxic.
+    Every ten rounds the correlation of votes within the classes is estimated from what voters agree on, and a voter's
+    evidence is divided by the sum of its squared correlations with all voters. Without rows or votes the posterior is 0.
     """
-    votes = np.hstack([toxic, clean])
-    n, m = votes.shape
+    n = len(toxic)
+    toxic, clean = (np.unique(side[:, side.any(0)], axis=1) for side in (toxic, clean))
+    votes, m = np.hstack([toxic, clean]), toxic.shape[1] + clean.shape[1]
     if not n or not m:
         return np.zeros(n)
-    post = np.clip(toxic[:, -1] * 0.9 + 0.05, 0.05, 0.95)
-    share = np.ones(m)
+    says = np.arange(m) < toxic.shape[1]
+    post = np.clip(toxic.sum(1) / np.maximum(votes.sum(1), 1), 0.02, 0.98)
+    share, mean = np.ones(m), votes.mean(0)
     for turn in range(rounds):
         prior = (post.sum() + 1) / (n + 2)
-        accuracy = np.clip((votes.T @ post + prior) / (votes.sum(0) + 1), 0.02, 0.98)
+        one = np.clip((votes.T @ post + mean) / (post.sum() + 1), 1e-4, 1 - 1e-4)
+        zero = np.clip((votes.T @ (1 - post) + mean) / ((1 - post).sum() + 1), 1e-4, 1 - 1e-4)
+        one, zero = np.where(says, np.maximum(one, zero), np.minimum(one, zero)), np.where(says, np.minimum(one, zero), np.maximum(one, zero))
         if turn % 10 == 4:
-            one, zero = votes.T @ post / max(post.sum(), 1e-9), votes.T @ (1 - post) / max((1 - post).sum(), 1e-9)
             rest = votes - (post[:, None] * one + (1 - post)[:, None] * zero)
             spread = np.sqrt((rest**2).mean(0)) + 1e-9
             share = 1 / np.maximum(1, ((rest.T @ rest / n / np.outer(spread, spread)) ** 2).sum(1))
-        odds, base = np.log(accuracy / (1 - accuracy)), np.log(prior / (1 - prior))
-        post = _sigmoid(base + votes @ (share * (odds - base)))
+        given, kept = share * np.log(one / zero), share * np.log((1 - one) / (1 - zero))
+        post = _sigmoid(np.log(prior / (1 - prior)) + votes @ (given - kept) + kept.sum())
     return post
 
 
@@ -148,8 +156,10 @@ def fit_linear(x: np.ndarray, soft: np.ndarray, ridge: float = 0.3, rounds: int
 
 
 def train_model(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model:
-    """Fit on at most ``most`` labelled rows. With no labels of both kinds every text scores near the prior."""
-    chosen = sample(docs, labels, most).persist()
+    """Fit on at most ``most`` labelled rows, which are written to the shared folder once. Null labels, null ids and null
+    texts teach nothing; of an id with several labels the highest counts. With no labels of both kinds every text scores
+    near the prior."""
+    chosen = stage(sample(docs, labels, most), run_dir(docs.sparkSession, "labelled"))
     voters = find_voters(chosen)
     empty = Model(voters, np.zeros(len(voters) + SHAPES), 0.0)
 
@@ -167,7 +177,6 @@ def train_model(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model
 
     schema = "toxic int, voters array<int>, fired array<int>, hits int, words int"
     told = chosen.sortWithinPartitions("doc_id").select("text", "toxic").mapInArrow(run, schema).collect()
-    chosen.unpersist()
     if not voters or not told:
         rate = (sum(r["toxic"] for r in told) + 0.5) / (len(told) + 1)
         return Model(voters, empty.weights, float(np.log(rate / (1 - rate))) if told else -2.0)
@@ -178,9 +187,8 @@ def train_model(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model
         x[i, len(voters) :] = shape(r["hits"], r["words"])
     gold = np.array([r["toxic"] for r in told], float)
     said = [patterns(r["hits"], r["words"]) for r in told]
-    toxic = np.hstack([lexicon, np.array([a for a, _ in said], float), gold[:, None]])
-    clean = np.hstack([np.array([b for _, b in said], float), 1 - gold[:, None]])
-    weights, bias = fit_linear(x, label_model(toxic, clean))
+    toxic = np.hstack([lexicon, np.array([a for a, _ in said], float)])
+    weights, bias = fit_linear(x, label_model(toxic, np.array([b for _, b in said], float)))
     scale, shift = calibrate(x @ weights + bias, gold)
     return Model(voters, weights * scale, bias * scale + shift)
 
@@ -198,20 +206,24 @@ def calibrate(z: np.ndarray, gold: np.ndarray) -> tuple[float, float]:
     return scale, float(np.log(0.7 / 0.3)) - cut * scale
 
 
-def score_texts(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``columns`` and ``score`` of every whole text. Null and empty texts score as a text in which no voter fires;
-    repeated rows score alike; other columns are not read."""
-    name = "text" if "text" in columns else "_text"
-    source = docs.select(*(F.col(f"`{c}`") for c in columns)) if name == "text" else docs.select(*columns, F.col("text").alias(name))
+def scorer(model: Model) -> Callable[[Column], Column]:
+    """The score of a text column. Only texts go to Python and only numbers come back; the rest of a row stays behind."""
 
-    def run(batches):
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo = model.memo()
-        for part in text_slices(batches, name):
-            scores = [model.score(t, memo) for t in as_text(part.column(name))]
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(scores, pa.float64())], [*columns, "score"])
+        for texts in batches:
+            yield pd.Series([model.score(t or "", memo) for t in texts], dtype=np.float64)
+
+    return F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)
+
 
-    kinds = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in columns)
-    return source.mapInArrow(run, f"{kinds}, score double")
+def score_texts(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",), out: str = "score") -> DataFrame:
+    """``columns`` of ``docs`` and ``out``, the score of every whole text. Null and empty texts score as a text in which no
+    voter fires; repeated rows score alike; an empty table gives no rows; other columns are not read. ``out`` must not be
+    among ``columns``."""
+    if out in columns:
+        raise ValueError(f"{out} is a column already")
+    return docs.select(*(F.col(f"`{c}`") for c in columns), scorer(model)(F.col("text")).alias(out))
 
 
 @query("op7_weak_toxicity")

@@ -131,6 +131,8 @@ def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     """Places (``id``, ``twin``, ``line_no``) of the lines that stay, blank ones left aside: the first of equal lines,
     unless an earlier line of the corpus lies within one edit (``edits`` 0: only equal lines). Order is by key, text hash
     and line number."""
+    if edits not in (0, 1):
+        raise ValueError("lines are compared at a distance of 0 or 1 only")
     lines = split_lines(docs, key, text)
     equal = lines.groupBy("h1", "h2").agg(F.min("place").alias("place"))
     if not edits:

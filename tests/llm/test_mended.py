@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quayside.llm import ann, toxicity
+from quayside.llm import ann, lines, toxicity
 from quayside.llm.common import ship
 
 VECTORS = "vec_id long, embedding array<double>, shard int, score double"
@@ -89,3 +89,11 @@ def test_stages_take_odd_tables_and_any_column(spark, odd_documents, name):
     assert out.count() == counts.get(name, out.count())
     empty = stage(spark, odd_documents.limit(0), "/root/testdata/sf0.001")
     assert empty.collect() == []
+
+
+def test_edit_bounds_that_are_not_built_fail(spark):
+    docs = spark.createDataFrame([(1, "a line of some length")], "doc_id long, text string")
+    for edits in (2, -1):
+        with pytest.raises(ValueError):
+            lines.dedup_lines(docs, edits=edits)
+    assert lines.dedup_lines(docs, edits=0).first().text == "a line of some length"

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from quayside.llm.common import query, table
 from quayside.session import run_dir, stage
 
-#: Lines with fewer characters are only compared whole: one edit would change too much of them.
+#: By default, lines with fewer characters are only compared whole: one edit would change too much of them.
 SHORT = 12
 CELL = 64
 #: Bits of the bitmap of shared half keys.
@@ -49,10 +49,10 @@ def piece_key(less: int, piece: int, power: int) -> Column:
     return F.xxhash64(F.lit(power * 10 + piece), size, F.left("form", cut_at(size, piece, power)), F.right("form", size - cut_at(size, piece + 1, power)))
 
 
-def half_keys() -> Column:
-    """Both half keys for both lengths; null for a line that is too short for an edit."""
+def half_keys(shortest: int) -> Column:
+    """Both half keys for both lengths; null for a line of fewer than ``shortest`` characters."""
     keys = F.array(*[piece_key(less, piece, 1) for less in (0, 1) for piece in (0, 1)])
-    return F.when(F.length("form") >= SHORT, keys)
+    return F.when(F.length("form") >= shortest, keys)
 
 
 def quarter_keys() -> Column:
@@ -82,16 +82,17 @@ def in_bitmap(bits: bytearray, key: Column) -> Column:
     return F.call_function("shiftright", byte, (slot % 8).cast("int")).bitwiseAND(1) == 1
 
 
-def candidates(lines: DataFrame) -> DataFrame:
+def candidates(lines: DataFrame, shortest: int) -> tuple[DataFrame, DataFrame]:
     """``h1``, ``h2``, ``place`` (the first), ``form``, ``less``, ``piece``: lines that agree with a different one in all but
-    one quarter."""
+    one quarter; and ``h1``, ``h2``, ``place``, ``form`` of these lines and some more, once each."""
     spark = lines.sparkSession
-    shared = stage(shared_keys(lines.select("h1", F.explode(half_keys()).alias("key"))), run_dir(spark, "half-keys"))
+    shared = stage(shared_keys(lines.select("h1", F.explode(half_keys(shortest)).alias("key"))), run_dir(spark, "half-keys"))
     bits = bitmap(shared)
-    maybe = lines.select("*", F.explode(half_keys()).alias("key")).where(in_bitmap(bits, F.col("key")))
+    maybe = lines.select("*", F.explode(half_keys(shortest)).alias("key")).where(in_bitmap(bits, F.col("key")))
     kept = maybe.join(shared, "key").groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("form").alias("form"))
     quarters = stage(kept.withColumn("k", F.explode(quarter_keys())).select("h1", "h2", "place", "form", "k.*"), run_dir(spark, "quarter-keys"))
-    return quarters.join(shared_keys(quarters), "key").drop("key")
+    once = quarters.where("less = 0 and piece = 0").select("h1", "h2", "place", "form")
+    return quarters.join(shared_keys(quarters), "key").drop("key"), once
 
 
 def variants(lines: DataFrame) -> DataFrame:
@@ -127,32 +128,46 @@ def variants(lines: DataFrame) -> DataFrame:
     return lost.select(met.alias("v"), F.col("less").alias("role"), "place", "h1", "h2").unionByName(whole)
 
 
-def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 1) -> DataFrame:
+def verified(late: DataFrame, forms: DataFrame) -> DataFrame:
+    """``h1``, ``h2`` of those rows of ``late`` (``h1``, ``h2``, ``before``: the place of an earlier line) whose line is within
+    one edit of that at ``before``; ``forms`` has both."""
+    own = late.join(forms.select("h1", "h2", "form"), ["h1", "h2"])
+    both = own.join(forms.select(F.col("place").alias("before"), F.col("form").alias("other")), "before")
+    return both.where(F.levenshtein("form", "other", 1) >= 0).select("h1", "h2").distinct()
+
+
+def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 1, shortest: int = SHORT) -> DataFrame:
     """Places (``id``, ``twin``, ``line_no``) of the lines that stay, blank ones left aside: the first of equal lines,
     unless an earlier line of the corpus lies within one edit (``edits`` 0: only equal lines). Order is by key, text hash
-    and line number."""
+    and line number. Lines of fewer than ``shortest`` characters are within no edit of others. A line whose variant has the
+    hash of an unrelated one is held against the earliest line with that hash, and stays when they differ by more."""
     if edits not in (0, 1):
         raise ValueError("lines are compared at a distance of 0 or 1 only")
     lines = split_lines(docs, key, text)
     equal = lines.groupBy("h1", "h2").agg(F.min("place").alias("place"))
     if not edits:
         return equal.select("place.*")
-    met = variants(candidates(lines))
+    near, forms = candidates(lines, shortest)
+    met = variants(near)
     first = [F.min(F.when(F.col("role") == role, F.col("place"))).alias(f"first{role}") for role in (0, 1, 2)]
     earliest = met.groupBy("v").agg(*first, F.min("place").alias("low"), F.max("place").alias("high")).where("low < high").drop("low", "high")
     before = F.when(F.col("role") == 0, F.col("first0")).when(F.col("role") == 1, F.col("first2")).otherwise(F.col("first1"))
-    late = met.join(earliest, "v").where(before < F.col("place")).select("h1", "h2").distinct()
-    return equal.join(stage(late, run_dir(docs.sparkSession, "late-lines")), ["h1", "h2"], "left_anti").select("place.*")
+    late = met.join(earliest, "v").where(before < F.col("place")).select("h1", "h2", before.alias("before")).distinct()
+    gone = stage(verified(late, forms), run_dir(docs.sparkSession, "late-lines"))
+    return equal.join(gone, ["h1", "h2"], "left_anti").select("place.*")
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 1, count: str | None = None) -> DataFrame:
-    """``docs`` with ``text`` cut down to the lines that stay, in order, joined by line ends.
+def dedup_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = 1, count: str | None = None, shortest: int = SHORT
+) -> DataFrame:
+    """``docs`` with ``text`` cut down to the lines that stay, in order, joined by line ends; see ``kept_lines``. Texts and
+    lines of any length are taken whole.
 
     A null text stays null, an empty one empty; a document of which no line stays gets an empty text. Rows that agree in
     key and text count as one place, so both keep its lines; a null key comes first in order. Further columns pass through
     and may have any name; ``count`` names one to add, the number of lines that stay. Empty tables stay empty.
     """
-    kept = kept_lines(docs, key, text, edits).groupBy("id", "twin").agg(F.array_sort(F.collect_list("line_no")).alias("kept"))
+    kept = kept_lines(docs, key, text, edits, shortest).groupBy("id", "twin").agg(F.array_sort(F.collect_list("line_no")).alias("kept"))
     rest = [c for c in docs.columns if c != text]
     row = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0)
     # Split before the join: inside a lambda the text would be split again for each of its lines.

@@ -10,7 +10,7 @@ the target is not shuffled at all.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -241,25 +241,34 @@ def merge_shared(
     expired: DataFrame | None = None,
     on_ambiguous: str = "error",
     path: str | None = None,
+    empty: Collection[str] = (),
 ) -> dict[str, DataFrame]:
     """Several targets with the same kind of key, merged with one source in one pass.
 
-    Target rows, upserts and ids to be removed are united, each tagged with its target, and meet in one shuffle by tag and
-    key; then they are split again. The result is that of an upsert merge per target, followed by a delete merge with the
+    Target rows, upserts and ids to be removed are united and meet in one shuffle by key, a source row once for all
+    targets; then they are split by target. A target that the caller names in ``empty`` holds no rows: what the source
+    brings is new to it, and nothing is shuffled for it unless keys may be removed. The result is that of an upsert merge per target, followed by a delete merge with the
     source rows whose ``verb`` says DELETE (rows without a verb change nothing) and with the keys of ``expired``, whose
     columns stand for the keys of every spec in order. With ``path`` the pass runs once and is staged by target, else
     once per target that is read.
 
     Rules for null keys and for several source rows of one key are those of ``merge_into``. A key is expected to hold few
-    rows of a target, as a primary key does: rows of one key and target meet in one task, which may spill.
+    rows of a target, as a primary key does: rows of one key meet in one task, which may spill.
     """
     if on_ambiguous not in ("error", "assume_unique"):
         raise ValueError(f"unknown ambiguity rule {on_ambiguous!r}")
-    names = list(specs)
     keys = {name: list(spec.on.values()) for name, spec in specs.items()}
     if len({tuple(k) for k in keys.values()}) > 1:
         raise ValueError("targets that are merged together share the source's key columns")
-    key = list(keys[names[0]])
+    key = next(iter(keys.values()))
+    vacant = [name for name in specs if name in empty and verb is None and expired is None]
+    loaded = {
+        name: targets[name] if specs[name].insert is None else _inserted(_prefixed(source), targets[name], specs[name].insert)
+        for name in vacant
+    }
+    names = [name for name in specs if name not in loaded]
+    if not names:
+        return loaded
     types = [source.schema[k].dataType for k in key]
 
     def struct_key(columns: Sequence[Column]):
@@ -274,35 +283,40 @@ def merge_shared(
         row = F.struct(*[F.col(f"`{c}`") for c in targets[name].columns]).alias(f"_t_{name}")
         tagged.append(targets[name].where(complete(own)).select(struct_key(own), F.lit(name).alias("_tag"), F.lit(_TARGET).alias("_kind"), row))
         aside[name] = targets[name].where(~complete(own))
-    every = F.explode(F.array(*[F.lit(n) for n in names])).alias("_tag")
     given = [F.col(f"`{c}`") for c in key]
     kind = F.lit(_UPSERT) if verb is None else F.when(F.col(verb) == DELETE_VERB, _GONE).otherwise(_UPSERT)
     rows = source if verb is None else source.where(F.col(verb).isNotNull())
-    rows = rows.select(struct_key(given), every, kind.alias("_kind"), F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("_s"))
-    tagged.append(rows)
+    others = [c for c in source.columns if c not in key]
+    # the key is not sent twice; the mark keeps the struct from being without fields
+    row = F.struct(F.lit(True).alias("_present"), *[F.col(f"`{c}`") for c in others])
+    tagged.append(rows.select(struct_key(given), kind.alias("_kind"), row.alias("_s")))
     if expired is not None:
         ids = [F.col(f"`{c}`") for c in expired.columns]
-        tagged.append(expired.where(complete(ids)).select(struct_key(ids), every, F.lit(_GONE).alias("_kind")))
+        tagged.append(expired.where(complete(ids)).select(struct_key(ids), F.lit(_GONE).alias("_kind")))
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
-    group = Window.partitionBy("_tag", "_key")
+    group = Window.partitionBy("_key")
     is_kind = lambda k: F.col("_kind") == k
     united = united.withColumns(
         {
             "_n": F.count_if(is_kind(_UPSERT)).over(group),
             "_dead": F.max(is_kind(_GONE)).over(group),
-            "_held": F.max(is_kind(_TARGET)).over(group),
+            **{f"_held_{n}": F.max(F.coalesce(F.col("_tag") == n, F.lit(False))).over(group) for n in names},
             "_given": F.first(F.when(is_kind(_UPSERT), F.col("_s")), ignorenulls=True).over(group),
         }
     )
+    if on_ambiguous == "error":
+        united = united.where(F.when(is_kind(_TARGET) & ~F.col("_dead"), _unambiguous(F.col("_n"))).otherwise(F.lit(True)))
     null_key = reduce(lambda a, b: a | b, [F.col(f"_key.k{i}").isNull() for i in range(len(key))])
     # a null key is no key: such source rows are inserted whatever else there is
-    kept = F.when(is_kind(_TARGET), ~F.col("_dead")).otherwise(is_kind(_UPSERT) & (null_key | ~(F.col("_held") | F.col("_dead"))))
-    united = united.where(kept)
-    if on_ambiguous == "error":
-        united = united.where(F.when(is_kind(_TARGET), _unambiguous(F.col("_n"))).otherwise(F.lit(True)))
+    lacking = [F.when(null_key | ~(F.col(f"_held_{n}") | F.col("_dead")), n) for n in names if specs[n].insert is not None]
+    lacking = F.array_compact(F.array(*lacking)) if lacking else F.lit(None)
+    places = F.when(is_kind(_TARGET) & ~F.col("_dead"), F.array("_tag")).when(is_kind(_UPSERT), lacking)
     used = F.when(is_kind(_TARGET), F.col("_given")).otherwise(F.col("_s"))
-    united = united.select("_tag", "_kind", "_n", *[f"_t_{n}" for n in names], *[used[c].alias(_PREFIX + c) for c in source.columns])
+    united = united.select(
+        F.explode(places).alias("_tag"), "_kind", "_n", *[f"_t_{n}" for n in names],
+        *[F.col(f"_key.k{i}").alias(_PREFIX + c) for i, c in enumerate(key)], *[used[c].alias(_PREFIX + c) for c in others],
+    )
 
     def merged(name: str) -> Column:
         change = {n.lower(): _value(v) for n, v in (specs[name].update or {}).items()}
@@ -313,15 +327,14 @@ def merge_shared(
             new = F.when(F.col("_n") > 0, change[f.name.lower()].cast(f.dataType)).otherwise(old) if f.name.lower() in change else old
             made = fresh.get(f.name.lower(), F.lit(None)).cast(f.dataType)
             fields.append(F.when(is_kind(_TARGET), new).otherwise(made).alias(f.name))
-        stays = is_kind(_TARGET) if specs[name].insert is None else F.lit(True)
-        return F.when((F.col("_tag") == name) & stays, F.struct(*fields)).alias(f"_o_{name}")
+        return F.when(F.col("_tag") == name, F.struct(*fields)).alias(f"_o_{name}")
 
     done = united.select("_tag", *[merged(n) for n in names])
     if path is not None:
         done.write.mode("overwrite").partitionBy("_tag").parquet(path)
         fields = [f for f in done.schema.fields if f.name != "_tag"]
         done = done.sparkSession.read.schema(T.StructType([*fields, T.StructField("_tag", T.StringType())])).parquet(path)
-    result = {}
+    result = dict(loaded)
     for name in names:
         rows = done.where((F.col("_tag") == name) & F.col(f"_o_{name}").isNotNull())
         result[name] = rows.select([F.col(f"_o_{name}")[c].alias(c) for c in targets[name].columns]).unionByName(aside[name])

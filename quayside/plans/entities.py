@@ -409,13 +409,15 @@ def run_orders(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict[s
     lines = with_period(lines, "start", "end")
     ids, line_ids = snap.select("OrderId"), lines.select("OrderId" if rules.line_key_with_order else "OrderLineId")
 
-    def known(table: str) -> DataFrame:
-        """What is stored for the batch's orders and lines, without the lines that its orders replace."""
-        if "Line" not in table:
-            return run.part(targets, table, ids)
-        if not rules.replace_order_lines:
-            return run.part(targets, table, line_ids)
-        return merge_into(run.part(targets, table, ids), ids, "OrderId", delete=True, source_rows=rows)
+    def stored(table: str) -> DataFrame:
+        """What is stored for the batch's orders and lines."""
+        return run.part(targets, table, ids if "Line" not in table or rules.replace_order_lines else line_ids)
+
+    def remaining(table: str, part: DataFrame) -> DataFrame:
+        """The stored rows without the lines that the batch's orders replace."""
+        if "Line" not in table or not rules.replace_order_lines:
+            return part
+        return merge_into(part, ids, "OrderId", delete=True, source_rows=rows)
 
     def upsert(key: list[str], values: Mapping[str, str]) -> MergeSpec:
         on = {k: k for k in key}
@@ -445,7 +447,10 @@ def run_orders(changes: DataFrame, targets: Targets, run: Run = Run()) -> dict[s
     }
 
     def merged(source: DataFrame, specs: Mapping[str, MergeSpec], rule: str, name: str) -> dict[str, DataFrame]:
-        return merge_shared({t: known(t) for t in specs}, source, specs, on_ambiguous=rule, path=run.place(name))
+        parts = {t: stored(t) for t in specs}
+        empty = [t for t, part in parts.items() if part.isEmpty()]  # a first load moves no rows to find matches
+        left = {t: remaining(t, part) for t, part in parts.items()}
+        return merge_shared(left, source, specs, on_ambiguous=rule, path=run.place(name), empty=empty)
 
     # line ids come from the document, so repeated ones are possible and checked
     return merged(orders, of_orders, run.ambiguity, "merged_orders") | merged(lines, of_lines, "error", "merged_lines")

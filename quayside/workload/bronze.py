@@ -122,16 +122,20 @@ def memberships(spark, sf) -> DataFrame:
 
 
 def orders(spark, sf) -> DataFrame:
-    line_id = F.concat_ws("-", *[text(c) for c in ("l_linenumber", "l_partkey", "l_suppkey")])
-    line = struct(
-        ID=line_id,
-        Quantity=F.col("l_quantity").cast("bigint"),
-        UnitPrice=F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2),
-        LineTotal=F.col("l_extendedprice"),
-        Product=struct(ID=text("l_partkey")),
-    )
-    lines = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), line.alias("line"))
-    lines = lines.groupBy("o_orderkey").agg(F.collect_list("line").alias("LineItems"))
+    columns = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    lines = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.struct(*columns).alias("line"))
+    lines = lines.groupBy("o_orderkey").agg(F.collect_list("line").alias("lines"))
+
+    def line(l: Column) -> Column:  # noqa: E741
+        return struct(
+            ID=F.concat_ws("-", *[l[c].cast("string") for c in ("l_linenumber", "l_partkey", "l_suppkey")]),
+            Quantity=l["l_quantity"].cast("bigint"),
+            UnitPrice=F.round(l["l_extendedprice"] / l["l_quantity"], 2),
+            LineTotal=l["l_extendedprice"],
+            Product=struct(ID=l["l_partkey"].cast("string")),
+        )
+
+    lines = lines.select("o_orderkey", F.transform("lines", line).alias("LineItems"))
     rows = load(spark, sf, "orders").join(lines, "o_orderkey", "left")
     status = F.when(F.col("o_orderstatus") == "O", 3).when(F.col("o_orderstatus") == "F", 4).otherwise(1)
     return rows.select(

@@ -80,3 +80,34 @@ def test_materialized_star(spark):
     assert "PartitionFilters: [isnotnull(_BookedMonth" in some._jdf.queryExecution().executedPlan().toString()
     read = stored["Order"].where("_BookedMonth BETWEEN DATE'1996-03-01' AND DATE'1997-03-31'")
     assert len(read.select(F.input_file_name()).distinct().collect()) < len(stored["Order"].select(F.input_file_name()).distinct().collect()) / 3
+
+
+def test_source_rows_move_once(spark):
+    """The source meets all targets in one shuffle of its own rows; an empty target costs none and takes every row."""
+    target = spark.createDataFrame([("a", 1)], "k string, v int")
+    source = spark.createDataFrame([("a", 5), ("b", 6), (None, 7), (None, 8), ("b", 9)], "k string, v int")
+    spec = MergeSpec.upsert({"k": "k"}, {"v": "v"})
+    got = merge_shared({"t": target, "u": target}, source, {"t": spec, "u": spec})
+    plan = got["t"]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Generate" not in plan[plan.index("Exchange hashpartitioning") :]
+    specs = {"t": spec, "e": spec, "n": MergeSpec({"k": "k"}, update={"v": "v"})}
+    got = merge_shared({"t": target, "e": target.limit(0), "n": target.limit(0)}, source, specs, empty=["e", "n"])
+    assert listed(got["t"]) == listed(merge_into(target, source, "k", update=spec.update, insert=spec.insert))
+    assert listed(got["e"]) == listed(source) and got["n"].count() == 0
+    assert "Exchange" not in got["e"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_load_of_lines_moves_nothing(spark):
+    from quayside.plans import entities as jobs
+    from quayside.workload import bronze
+    from quayside.workload.entities import target
+
+    names = ["Order", "Shipment", "OrderStatus", "OrderLine", "OrderLineStatus"]
+    run = jobs.Run(staging=run_dir(spark, "orders"))
+    done = jobs.run_orders(bronze.orders(spark, SF), {n: target(spark, n) for n in names}, run)
+    assert "Exchange" not in done["OrderLine"]._jdf.queryExecution().executedPlan().toString()
+    lines = done["OrderLine"].select("OrderId", "OrderLineId", "ProductId", "Quantity")
+    given = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr(
+        "'SC-' || l_orderkey", "concat('SC-', concat_ws('-', l_linenumber, l_partkey, l_suppkey))", "'SC-' || l_partkey", "cast(l_quantity AS decimal(18,2))"
+    )
+    assert listed(lines) == listed(given)

@@ -68,6 +68,14 @@ def option_members(specs: Column | str, lists: Column | str) -> Column:
     return F.transform(as_col(lists), lambda options: F.transform(options, lambda option: of_option(options, option)))
 
 
+def deal_products(df: DataFrame, product: str) -> DataFrame:
+    """Products dealt over as many tasks as a shuffle has, by id.
+
+    A product takes few bytes in storage and long to expand, so the splits of a file are too few tasks for it.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), product)
+
+
 def expand_variants(
     df: DataFrame,
     product: str,
@@ -83,6 +91,7 @@ def expand_variants(
     lengths, so a row is generated per number instead of building all texts in
     one value; a product with very many is spread over the tasks in ranges of
     numbers. Products without a combination keep one row with a null variant.
+    Other products are expanded where they are: ``deal_products`` first if there are many.
     With ``members`` the rows also carry the characteristics of their options.
     """
     column = F.col(lists)
@@ -109,15 +118,18 @@ def spread_numbers(df: DataFrame, total: Column, out: str, width: int = RANGE) -
     """
     rows = df.withColumn("_total", F.coalesce(total, F.lit(0).cast("bigint")))
     one = F.lit(1).cast("bigint")
-    few = rows.where(F.col("_total") <= width)
-    few = few.select("*", F.explode_outer(F.when(F.col("_total") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("_total") - one))).alias(out))
+    # both halves leave rows out by numbers they do not have: a filter would be worked out before the rows are dealt
+    own = F.when(F.col("_total") == 0, F.array(F.lit(None).cast("bigint")))
+    own = own.when(F.col("_total") <= width, F.sequence(F.lit(0).cast("bigint"), F.col("_total") - one))
+    few = rows.select("*", F.explode(own).alias(out))
 
     def cut(frame: DataFrame, start: str, size: Column | int, step: int, name: str) -> DataFrame:
         first = F.col(start) if start else F.lit(0).cast("bigint")
         last = F.least(first + size - one, F.col("_total") - one)
-        return frame.select("*", F.explode(F.sequence(first, last, F.lit(step).cast("bigint"))).alias(name))
+        numbers = F.when(F.col("_total") > width, F.sequence(first, last, F.lit(step).cast("bigint")))
+        return frame.select("*", F.explode(numbers).alias(name))
 
-    wide = cut(rows.where(F.col("_total") > width), "", F.col("_total"), width * width, "_far")
+    wide = cut(rows, "", F.col("_total"), width * width, "_far")
     wide = cut(wide, "_far", width * width, width, "_near").drop("_far")
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     many = cut(wide.repartition(tasks), "_near", width, 1, out).drop("_near")

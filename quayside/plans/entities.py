@@ -32,6 +32,7 @@ from quayside.operators.snapshot import (
 )
 from quayside.operators.variants import (
     contains_match,
+    deal_products,
     expand_variants,
     label_values,
     option_lists,
@@ -477,9 +478,9 @@ def product_snapshot(changes: DataFrame, run: Run) -> DataFrame:
 def product_variants(snap: DataFrame, rules: Rules) -> DataFrame:
     """One row per variant, or the product itself without variants, with its characteristics and names.
 
-    A map over the snapshot: the specs travel with their product, and stay behind once they are read into lists.
+    A map over the dealt snapshot: the specs travel with their product, and stay behind once they are read into lists.
     """
-    listed = snap.withColumn("_lists", option_lists("Specs"))
+    listed = deal_products(snap, "ExternalProductID").withColumn("_lists", option_lists("Specs"))
     if rules.options_by_text:
         expanded = expand_variants(listed, "ExternalProductID", "_lists")
         match = F.when(F.col("ProductID").isNotNull(), contains_match("Specs", "ProductID"))

@@ -16,6 +16,7 @@ from quayside.operators.nested import (
 )
 from quayside.operators.variants import (
     contains_match,
+    deal_products,
     expand_variants,
     label_values,
     option_lists,
@@ -73,7 +74,7 @@ chr AS (SELECT variant, var.id, var.name, spec, o, v FROM var JOIN opt ON opt.id
 
 
 def variants(spark, sf):
-    rows = products(spark, sf).withColumn("lists", option_lists("Specs"))
+    rows = deal_products(products(spark, sf), "ExternalProductID").withColumn("lists", option_lists("Specs"))
     rows = rows.withColumn("members", option_members("Specs", "lists"))
     return expand_variants(rows, "ExternalProductID", "lists", members="members")
 

@@ -86,3 +86,27 @@ def test_one_product_with_very_many_variants(spark):
     assert rows.agg(F.approx_count_distinct("ProductID", 0.01)).first()[0] > 960_000
     sizes = [int(x) for x in re.findall(r"size=(\d+)", plan(rows))]
     assert not sizes or max(sizes) < 10**6
+
+
+def test_products_of_one_file_are_dealt(spark):
+    """A short file of products is one split; their variants come from all tasks, in the product job too."""
+    from quayside.plans.entities import Rules, product_variants
+    from quayside.session import run_dir, stage
+    from quayside.workload.nested import variants
+
+    sf = "/root/testdata/sf0.001"
+    for made in (
+        variants(spark, sf),
+        product_variants(
+            stage(
+                spark.range(200).selectExpr(
+                    "'SC-' || id AS ExternalProductID", "'n' AS Name", "'d' AS Description", "'p' AS ReturnPolicyStatement", "1 AS ReturnPolicyPeriodInDays",
+                    "'c' AS CatalogId", "'g' AS CategoryId", "array(struct('s' AS ID, 'x' AS Name, array(struct('a' AS ID, 'b' AS Value), struct('c' AS ID, 'd' AS Value)) AS Options)) AS Specs",
+                ).coalesce(1),
+                run_dir(spark, "few"),
+            ),
+            Rules(),
+        ),
+    ):
+        counts = [r["count"] for r in made.select(F.spark_partition_id().alias("task"), "ExternalProductID").groupBy("task").count().collect()]
+        assert len(counts) >= 4 and max(counts) < sum(counts) / 2

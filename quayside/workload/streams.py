@@ -42,23 +42,30 @@ def _registry_job(changes, targets, run):
     return {"registry": merged}
 
 
+def _third(files):
+    """A third of the files of a frame, rounded up."""
+    return max(1, -(-len(files.inputFiles()) // 3))
+
+
 @query("stream_land_and_map", APPLY_SQL)
 def land_and_map(spark, sf):
-    """The feed landed by one stream, newest events first, and merged into a registry by a second one, a file at a time."""
+    """The feed landed by one stream, newest events first, and merged into a registry by a second one, a third of the files
+    at a time: a file per task of the scan, so no third passes one task and more events make no more batches."""
     root = run_dir(spark, "map")
     rows = feed(spark, sf).withColumnsRenamed({COMMIT_VERSION: "version", CHANGE_TYPE: "kind"})
     newest_first = F.ntile(3).over(Window.orderBy(F.desc("day"))).alias("part")
     parts = rows.select(F.col(EVENT_TIME).alias("day")).distinct().select("day", newest_first)
     dealt = rows.join(F.broadcast(parts), rows[EVENT_TIME].eqNullSafe(parts["day"])).drop("day")
     for part in (1, 2, 3):
-        dealt.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/in")
-    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        dealt.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{root}/in")
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", _third(spark.read.schema(rows.schema).parquet(f"{root}/in")))
+    source = source.parquet(f"{root}/in")
     registry = _registry(spark, sf)
     own = Entity(rows.schema, _registry_job, {"registry": registry.schema}, {"registry": "id"})
     lake = Medallion(spark, f"{root}/lake", more={"Registry": own}, buckets=4)
     lake.store.create().commit({"registry": registry})
     land_stream(source, lake.log_path("Registry"), f"{root}/land").awaitTermination()
-    map_stream(lake, "Registry", f"{root}/map", max_files=1).awaitTermination()
+    map_stream(lake, "Registry", f"{root}/map", max_files=_third(lake.log("Registry"))).awaitTermination()
     return lake.store.table("registry")
 
 

@@ -11,14 +11,16 @@ of its own attempt and then renames it; a task that runs again writes the same b
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,22 @@ MAGIC = b"QIDS0001"
 CHUNKS = 600_000
 #: Chunks of letters that the library encodes as one text.
 JOINED = 64
+#: Tab and line ends become spaces.
+AS_SPACE = bytes(32 if c in b"\t\n\r" else c for c in range(256))
+#: Letters that composition leaves alone and whose lower case is one letter, and ASCII signs after them.
+PLAIN = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-į]+)(?P<signs>[!-/:-@\[-`{-~]*)$"
+#: Steps of a tokenizer that lowers case and parts letters from signs.
+FOLDING = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PARTING = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 def mix64(x: np.ndarray, seed: int) -> np.ndarray:
@@ -146,8 +164,10 @@ class Encoder:
     """Whole texts through the tokenizers library, chunk by chunk.
 
     Space, tab and line ends never lie inside a token of a tokenizer that drops white space, so the chunks between them
-    are encoded on their own, each different one once as long as it is kept. Chunks of letters alone go to the library
-    many at a time: where tokens mark the ends of words, as many marks as chunks show that each chunk is one word.
+    are encoded on their own, each different one of a call once, and none again as long as it is kept. Where the tokenizer
+    lowers case and parts letters from signs (``folds``), a chunk of plain letters and signs after them is encoded as its
+    letters in lower case and its signs. Chunks of letters alone go to the library many at a time: where tokens mark the
+    ends of words, as many marks as chunks show that each chunk is one word.
     """
 
     def __init__(self, path: str, width: int) -> None:
@@ -159,11 +179,13 @@ class Encoder:
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if suffix and token.endswith(suffix)]] = True
+        told = json.loads(self.tokenizer.to_str())
+        self.folds = (told["normalizer"], told["pre_tokenizer"]) == (FOLDING, PARTING)
 
-    def encode_chunks(self, chunks: set[str]) -> Iterator[tuple[str, bytes]]:
-        """Each chunk with its ids."""
+    def encode_chunks(self, chunks: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        """Each chunk with its ids; chunks are distinct."""
         words = [c for c in chunks if c.isalpha()] if self.ends.any() else []
-        single = list(chunks.difference(words))
+        single = list(set(chunks).difference(words))
         width = array(self.kind).itemsize
         groups = [words[k : k + JOINED] for k in range(0, len(words), JOINED)]
         for group, coded in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
@@ -179,16 +201,42 @@ class Encoder:
         for chunk, coded in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
             yield chunk, array(self.kind, coded.ids).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        rows = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        words = set().union(*rows)
-        missing = words.difference(self.new)
+    def look_up(self, chunks: list[str]) -> pa.Array:
+        """The ids of distinct chunks, from those kept or else from the library."""
+        found = list(map(self.new.get, chunks))
+        missing = [at for at, ids in enumerate(found) if ids is None]
         if len(self.new) + len(missing) > CHUNKS:
-            self.old, self.new, missing = self.new, {}, words
-        self.new.update((w, known) for w in missing if (known := self.old.get(w)) is not None)
-        self.new.update(self.encode_chunks(missing.difference(self.new)))
-        of = self.new.__getitem__
-        return [b"".join(map(of, row)) for row in rows]
+            self.old, self.new = self.new, {}
+        for at in missing:
+            found[at] = self.old.get(chunks[at])
+        made = dict(self.encode_chunks([chunks[at] for at in missing if found[at] is None]))
+        for at in missing:
+            chunk = chunks[at]
+            if found[at] is None:
+                found[at] = made[chunk]
+            self.new[chunk] = found[at]
+        return pa.array(found, pa.large_binary())
+
+    def encode_distinct(self, chunks: pa.Array) -> pa.Array:
+        """The ids of distinct chunks."""
+        if not self.folds:
+            return self.look_up(chunks.to_pylist())
+        parts = pc.extract_regex(chunks, PLAIN)  # null where it does not match
+        heads = pc.coalesce(pc.utf8_lower(pc.struct_field(parts, "word")), chunks).dictionary_encode()
+        tails = pc.fill_null(pc.struct_field(parts, "signs"), "").dictionary_encode()
+        ids = [self.look_up(x.dictionary.to_pylist()).take(x.indices) for x in (heads, tails)]
+        return pc.binary_join_element_wise(*ids, pa.scalar(b"", pa.large_binary()))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        words = pc.split_pattern(pa.array([t.encode().translate(AS_SPACE) for t in texts], pa.string()), " ")
+        coded = words.values.dictionary_encode()
+        ids = self.encode_distinct(coded.dictionary).take(coded.indices)
+        if not len(ids):
+            return [b""] * len(texts)
+        _, ends, raw = ids.buffers()
+        cuts = np.frombuffer(ends, np.int64)[words.offsets.to_numpy()].tolist()
+        data = memoryview(raw)
+        return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}

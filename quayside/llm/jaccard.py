@@ -336,15 +336,15 @@ FAMILY_KEYS = ["la", "lb", "i", "j"]
 
 
 def families(members: DataFrame, payload: DataFrame) -> DataFrame:
-    """Rows of ``members`` (``la``, ``lb``, ``a``, ``b``, ``tokens``) with ``payload`` by class, for each family or pair of
+    """Rows of ``members`` (``la``, ``lb``, ``a``, ``b`` and others) with ``payload`` by class, for each family or pair of
     its blocks: ``i``, ``j``, and ``own``, the block of the row."""
-    spark = members.sparkSession
+    spark, others = members.sparkSession, [c for c in members.columns if c not in FAMILY_KEYS]
     blocks = members.groupBy("la", "lb").agg(F.count("*").alias("size")).select("la", "lb", F.ceil(F.col("size") / FAMILY).cast("int").alias("blocks"))
     blocks = stage(blocks, run_dir(spark, "blocks"))
     placed = members.join(blocks, ["la", "lb"]).withColumn("own", F.pmod(F.xxhash64("a", "b"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     sent = placed.withColumn("other", other).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    return sent.select(*FAMILY_KEYS, "own", "a", "b", "n", "tokens").join(payload, ["a", "b"])
+    return sent.select(*FAMILY_KEYS, "own", *others).join(payload, ["a", "b"])
 
 
 def unpack(family: pd.DataFrame) -> tuple[pd.DataFrame, list[np.ndarray], np.ndarray | None]:
@@ -359,29 +359,36 @@ def unpack(family: pd.DataFrame) -> tuple[pd.DataFrame, list[np.ndarray], np.nda
 
 
 def passing(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """``members`` of which some pair may link, by size and sketches."""
+    """``members`` of which some pair may link, by size and sketches.
+
+    A set is held against all smaller ones of its family that are large enough, at the width of the smallest of these: folded
+    any further, large sets would differ in no more bits than they may.
+    """
 
     def run(family: pd.DataFrame) -> pd.DataFrame:
-        family, lists, side = unpack(family)
-        sizes, held = family["n"].to_numpy(), family["sketch"].to_list()
+        family = family.sort_values(["n", "a", "b"], ignore_index=True)
+        n, held = family["n"].to_numpy(), family["sketch"].to_list()
+        side = family["own"].to_numpy() if family["i"].iloc[0] != family["j"].iloc[0] else None
+        starts = np.searchsorted(n, -(-n * percent // 100))
+        widths = np.array([len(h) for h in held])[starts]  # rising, as sizes are
         fine = np.zeros(len(family), bool)
-        for members_ in lists:
-            width = min(len(held[m]) for m in members_)
-            bits, n = np.stack([fold(held[m], width) for m in members_]), sizes[members_]
-            starts = np.searchsorted(n, -(-n * percent // 100))
-            for k in range(1, len(n)):
-                at = slice(starts[k], k)
-                common = -(-percent * (n[at] + n[k]) // (100 + percent))  # the least overlap of a link
-                open_ = np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64) <= n[at] + n[k] - 2 * common
+        for width in np.unique(widths).tolist():
+            mine = np.flatnonzero(widths == width)
+            first = int(starts[mine[0]])
+            bits = np.stack([fold(h, width) for h in held[first : mine[-1] + 1]]).view(np.uint64)
+            for k, start in zip(mine.tolist(), starts[mine].tolist(), strict=True):
+                both = n[start:k] + n[k]
+                most = both - 2 * -(-percent * both // (100 + percent))  # shingles in which a link may differ
+                open_ = np.bitwise_count(bits[start - first : k - first] ^ bits[k - first]).sum(1, dtype=np.int64) <= most
                 if side is not None:
-                    open_ &= side[members_[at]] != side[members_[k]]
+                    open_ &= side[start:k] != side[k]
                 if open_.any():
-                    fine[members_[k]] = True
-                    fine[members_[at][open_]] = True
+                    fine[k] = True
+                    fine[start:k] |= open_
         return family.loc[fine, ["la", "lb", "a", "b"]]
 
     spark = members.sparkSession
-    kept = families(members, sketches).groupBy(*FAMILY_KEYS).applyInPandas(run, "la long, lb long, a long, b long").distinct()
+    kept = families(members.drop("tokens"), sketches).groupBy(*FAMILY_KEYS).applyInPandas(run, "la long, lb long, a long, b long").distinct()
     return stage(members.join(kept, ["la", "lb", "a", "b"], "left_semi"), run_dir(spark, "passing"))
 
 
